@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recollect import schema
-from recollect.config import DEFAULT_SESSION, MemoryConfig
-from recollect.functions import text as tx
+from recollect.config import MemoryConfig
 from recollect.operators import ingest
 from recollect.operators.retention import expired, live
+from recollect.operators.transcript import segments
 from recollect.sources.layout import (
     BUCKET,
     BUCKETS,
@@ -106,9 +106,8 @@ class MemoryTable:
         self, events: DataFrame, config: MemoryConfig, now: Column, txn: str | None = None
     ) -> None:
         """Ingest whole sessions, replacing their memories."""
-        keys = self._session_keys(events.filter(F.col("session_id").isNotNull()))
         self._rewrite(
-            self._folders(keys),
+            self._folders(self._session_keys(segments(events))),
             lambda stored: ingest.ingest_sessions(events, config, now, stored),
             txn,
         )
@@ -121,11 +120,18 @@ class MemoryTable:
         metadata: Mapping[str, str] | None = None,
         txn: str | None = None,
     ) -> None:
-        """Append a delta of events to their sessions' memories."""
-        session = tx.default_if_empty(F.col("session_id"), DEFAULT_SESSION)
-        keys = self._session_keys(events.withColumn("session_id", session))
+        """Append a delta of events to their sessions' memories.
+
+        A first look at keys and event ids alone finds the folders with anything new;
+        events delivered again rewrite nothing.
+        """
+        if self._done(txn):
+            return
+        segs = segments(events, default_session=True)
+        near = self.read(self._folders(self._session_keys(segs)))
+        fresh = ingest.new_segments(segs, near)
         self._rewrite(
-            self._folders(keys),
+            self._folders(self._session_keys(fresh)),
             lambda stored: ingest.apply_delta(events, config, now, stored, metadata),
             txn,
         )
