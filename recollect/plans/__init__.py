@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("transcript", "embedding", "memory", "search")
+_MODULES = ("transcript", "embedding", "memory", "search", "audit", "protect", "streaming")
 
 
 def registry() -> dict:
