@@ -44,7 +44,7 @@ def approximate_top_k(
     if small:
         chosen = F.broadcast(chosen)
     asked = queries.select(F.col("query_id").cast("string"), F.col("embedding").alias("_q"))
-    sim = vx.similarity(config.similarity, F.col("embedding"), F.col("_q"))
+    sim = vx.similarity_in_batches(config.similarity)("embedding", "_q")
     scored = (
         memories.select(*TENANT, F.col("memory_id").cast("string").alias("memory_id"), "embedding")
         .join(chosen, [*TENANT, "memory_id"])

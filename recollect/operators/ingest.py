@@ -214,4 +214,6 @@ def insert_memories(
         now.alias("created_at"),
         now.alias("updated_at"),
     ).filter(F.col("transcript") != "")
+    # embedding costs far more than moving its text, so first spread the rows evenly
+    rows = rows.repartition("memory_id")
     return _vectorise(rows, config, em.embed_column(config, F.col("transcript"), DOCUMENT_INPUT))

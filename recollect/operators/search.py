@@ -84,15 +84,26 @@ def with_memories(hits: DataFrame, memories: DataFrame, small: bool) -> DataFram
     )
 
 
+def budget(config: MemoryConfig, mode: str) -> int:
+    """Rows kept per query on the way: the limit, or the candidates of an approximate search."""
+    return config.search_limit if mode == "exact" else config.num_candidates
+
+
 def top_k(
-    queries: DataFrame, memories: DataFrame, config: MemoryConfig, mode: str = "exact"
+    queries: DataFrame,
+    memories: DataFrame,
+    config: MemoryConfig,
+    mode: str = "exact",
+    small: bool | None = None,
 ) -> DataFrame:
-    """Tenant, ``query_id``, ``memory_id``, ``similarity`` and ``rank`` for prepared queries."""
-    budget = config.search_limit if mode == "exact" else config.num_candidates
-    small = few_hits(queries, budget)
+    """Tenant, ``query_id``, ``memory_id``, ``similarity`` and ``rank`` for prepared queries.
+
+    ``small`` is the answer of :func:`few_hits`, where the caller has it already.
+    """
+    small = few_hits(queries, budget(config, mode)) if small is None else small
     memories = asked_tenants_only(memories, queries, small)
     if mode == "exact":
-        return nearest(queries, memories, budget, config.similarity, config.dimensions)
+        return nearest(queries, memories, config.search_limit, config.similarity, config.dimensions)
     if mode == "approximate":
         return approximate_top_k(queries, memories, config, small)
     raise ValueError(f"unknown search mode {mode!r}")
@@ -111,8 +122,8 @@ def search(
     """
     asked = prepare_queries(queries, config)
     allowed = memories if now is None else live(memories, config.ttl_seconds, now)
-    small = few_hits(queries, config.search_limit)
-    hits = top_k(asked, allowed, config, mode)
+    small = few_hits(queries, budget(config, mode))
+    hits = top_k(asked, allowed, config, mode, small)
     return shape_results(with_memories(hits, allowed, small), config)
 
 
@@ -134,7 +145,7 @@ def search_memory(
         own.filter(good)
         .withColumn("_q", vector)
         .filter(F.col("_q").isNotNull())
-        .withColumn("similarity", vx.similarity(config.similarity, F.col("embedding"), F.col("_q")))
+        .withColumn("similarity", vx.similarity_in_batches(config.similarity)("embedding", "_q"))
         .orderBy(F.desc("similarity"), "memory_id")
         .limit(config.search_limit)
     )
