@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column
 
@@ -26,6 +27,8 @@ SESSION_KEY = ("app_name", "user_id", "session_id")
 
 #: (text column, input type) -> vector column
 Embedder = Callable[[Column, str], Column]
+#: a point in time
+Now = Column | datetime | str
 #: raw transcript column -> distilled column
 Distiller = Callable[[Column], Column]
 

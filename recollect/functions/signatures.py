@@ -39,15 +39,15 @@ def signature(vector: Column, dims: int, bits: int = DEFAULT_BITS) -> Column:
     def sign_bits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         matrix = planes(bits, dims)
         for vectors in batches:
-            out = pd.Series([None] * len(vectors), dtype=object)
+            out: list = [None] * len(vectors)
             good = [i for i, v in enumerate(vectors) if v is not None and len(v) == dims]
             if good:
                 stacked = np.stack([np.asarray(vectors.iloc[i], dtype=np.float64) for i in good])
                 on = (stacked @ matrix) > ZERO_BAND
                 words = np.packbits(on, axis=1, bitorder="little").view(np.int64)
                 for i, row in zip(good, words):
-                    out.iat[i] = row
-            yield out
+                    out[i] = row
+            yield pd.Series(out, dtype=object)
 
     # not pushed into filters, where it would be computed a second time
     return sign_bits.asNondeterministic()(vector)

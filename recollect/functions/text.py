@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,6 +51,11 @@ def append_text(prior: Column, delta: Column) -> Column:
     ).otherwise(delta)
 
 
+def moment(now: Column | datetime | str) -> Column:
+    """A point in time given as a column, a datetime or text."""
+    return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
+
+
 def iso_timestamp(ts: Column) -> Column:
     """ISO-8601 with offset; the fraction appears only when it is not zero."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")

@@ -35,7 +35,7 @@ def batch_embedder(make_model: Callable[[], BatchFn], batch_size: int = 256) ->
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             model = make_model()
             for texts in batches:
-                out = pd.Series([None] * len(texts), dtype=object)
+                out: list = [None] * len(texts)
                 present = np.flatnonzero(texts.notna().to_numpy())
                 for start in range(0, len(present), batch_size):
                     where = present[start : start + batch_size]
@@ -43,8 +43,8 @@ def batch_embedder(make_model: Callable[[], BatchFn], batch_size: int = 256) ->
                     if len(vectors) != len(where):
                         raise ValueError(f"model returned {len(vectors)} vectors for {len(where)} texts")
                     for i, v in zip(where, vectors):
-                        out.iat[i] = np.asarray(v, dtype=np.float32)
-                yield out
+                        out[i] = np.asarray(v, dtype=np.float32)
+                yield pd.Series(out, dtype=object)
 
         # not pushed into filters, where the model would be called a second time
         return run.asNondeterministic()(text)

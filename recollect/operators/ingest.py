@@ -20,6 +20,7 @@ from recollect.config import (
     SOURCE_EVENTS,
     SOURCE_SESSION,
     MemoryConfig,
+    Now,
 )
 from recollect.functions import text as tx
 from recollect.functions.maps import STRING_MAP, literal_map, merge_maps
@@ -123,7 +124,7 @@ def delta_updates(
 
 
 def upsert(
-    stored: DataFrame | None, updates: DataFrame, config: MemoryConfig, now: Column
+    stored: DataFrame | None, updates: DataFrame, config: MemoryConfig, now: Now
 ) -> DataFrame:
     """All memories after applying ``updates``, keyed by ``memory_id``.
 
@@ -131,6 +132,7 @@ def upsert(
     from the first write and ``custom_metadata`` is replaced only by a non-empty map.
     Rows whose text did not change keep their vector: the embedder sees null for them.
     """
+    now = tx.moment(now)
     if stored is None:
         fresh = updates.select(
             "*",
@@ -170,7 +172,7 @@ def upsert(
 
 
 def ingest_sessions(
-    events: DataFrame, config: MemoryConfig, now: Column, stored: DataFrame | None = None
+    events: DataFrame, config: MemoryConfig, now: Now, stored: DataFrame | None = None
 ) -> DataFrame:
     """Whole sessions replace the text and ids of their memories."""
     return upsert(stored, session_updates(events, config), config, now)
@@ -179,7 +181,7 @@ def ingest_sessions(
 def apply_delta(
     events: DataFrame,
     config: MemoryConfig,
-    now: Column,
+    now: Now,
     stored: DataFrame,
     metadata: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -190,7 +192,7 @@ def apply_delta(
 def insert_memories(
     entries: DataFrame,
     config: MemoryConfig,
-    now: Column,
+    now: Now,
     metadata: Mapping[str, str] | None = None,
     entry_id: Column | None = None,
 ) -> DataFrame:
@@ -199,6 +201,7 @@ def insert_memories(
     ``entry_id`` is a key of the entry that stays the same if a task is run again;
     without one each row gets a random key.
     """
+    now = tx.moment(now)
     key = F.uuid() if entry_id is None else F.sha2(F.concat_ws(UNIT, F.lit(SOURCE_DIRECT), entry_id), 256)
     rows = entries.select(
         key.alias("memory_id"),

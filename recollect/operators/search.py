@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recollect.config import QUERY_INPUT, TENANT, MemoryConfig
+from recollect.config import QUERY_INPUT, TENANT, MemoryConfig, Now
 from recollect.functions import text as tx
 from recollect.functions import vectors as vx
 from recollect.functions.maps import STRING_MAP, empty_map, merge_maps
@@ -114,7 +114,7 @@ def search(
     memories: DataFrame,
     config: MemoryConfig,
     mode: str = "exact",
-    now: Column | None = None,
+    now: Now | None = None,
 ) -> DataFrame:
     """All queries at once: the best memories of each query's own tenant, in order.
 

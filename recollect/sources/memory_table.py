@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recollect import schema
-from recollect.config import MemoryConfig
+from recollect.config import MemoryConfig, Now
 from recollect.operators import ingest
 from recollect.operators.retention import expired, live
 from recollect.operators.transcript import segments
@@ -103,7 +103,7 @@ class MemoryTable:
     # ---- writing -------------------------------------------------------------
 
     def add_sessions(
-        self, events: DataFrame, config: MemoryConfig, now: Column, txn: str | None = None
+        self, events: DataFrame, config: MemoryConfig, now: Now, txn: str | None = None
     ) -> None:
         """Ingest whole sessions, replacing their memories."""
         self._rewrite(
@@ -116,7 +116,7 @@ class MemoryTable:
         self,
         events: DataFrame,
         config: MemoryConfig,
-        now: Column,
+        now: Now,
         metadata: Mapping[str, str] | None = None,
         txn: str | None = None,
     ) -> None:
@@ -149,7 +149,7 @@ class MemoryTable:
             [(bucket, s) for s in range(self.slices)], lambda stored: stored.filter(~theirs), txn
         )
 
-    def purge(self, ttl_seconds: int | None, now: Column, txn: str | None = None) -> None:
+    def purge(self, ttl_seconds: int | None, now: Now, txn: str | None = None) -> None:
         """Remove expired memories; folders without any are left alone."""
         gone = expired(self.read(), ttl_seconds, now)
         self._rewrite(

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from recollect.config import SESSION_KEY, MemoryConfig
+from recollect.config import SESSION_KEY, MemoryConfig, Now
 from recollect.sources.memory_table import MemoryTable
 
-Now = Callable[[], Column]
 
 
 def stream_deltas(
@@ -21,7 +20,7 @@ def stream_deltas(
     checkpoint: str,
     name: str = "deltas",
     metadata: Mapping[str, str] | None = None,
-    now: Now = F.current_timestamp,
+    now: Callable[[], Now] = F.current_timestamp,
     **trigger,
 ) -> StreamingQuery:
     """Appends every micro-batch to its sessions' memories.
@@ -48,7 +47,7 @@ def stream_finished_sessions(
     config: MemoryConfig,
     checkpoint: str,
     name: str = "sessions",
-    now: Now = F.current_timestamp,
+    now: Callable[[], Now] = F.current_timestamp,
     **trigger,
 ) -> StreamingQuery:
     """Saves sessions as they finish: a stream of keys picks their events from the log."""
