@@ -97,40 +97,33 @@ def delta_updates(
     config: MemoryConfig,
     metadata: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """What appending events sets. Only the new text is distilled; a session all of
-    whose events are known does not appear, and so stays as it is."""
+    """What appending events adds: new text and ids. Only the new text is distilled; a
+    session all of whose events are known does not appear, and so stays as it is."""
     segs = segments(events, default_session=True)
     fresh = new_segments(segs, stored, config.dedupe_within_batch)
-    delta = distill(transcripts(fresh), config.distiller).select(
+    return distill(transcripts(fresh), config.distiller).select(
         session_memory_id().alias("memory_id"),
         *SESSION_KEY,
-        F.col("stored_text").alias("_text"),
-        F.col("event_ids").alias("_ids"),
-    )
-    prior = stored.filter(F.col("session_id").isNotNull()).select(
-        "memory_id",
-        F.col("transcript").alias("_prior"),
-        F.array_distinct("event_ids").alias("_prior_ids"),
-    )
-    no_ids = F.array().cast("array<string>")
-    return delta.join(prior, "memory_id", "left").select(
-        "memory_id",
-        *SESSION_KEY,
-        tx.append_text(F.col("_prior"), F.col("_text")).alias("transcript"),
-        F.concat(F.coalesce("_prior_ids", no_ids), "_ids").alias("event_ids"),
+        F.col("stored_text").alias("transcript"),
+        "event_ids",
         F.lit(SOURCE_EVENTS).alias("source"),
         literal_map(metadata).alias("custom_metadata"),
     )
 
 
 def upsert(
-    stored: DataFrame | None, updates: DataFrame, config: MemoryConfig, now: Now
+    stored: DataFrame | None,
+    updates: DataFrame,
+    config: MemoryConfig,
+    now: Now,
+    append: bool = False,
 ) -> DataFrame:
-    """All memories after applying ``updates``, keyed by ``memory_id``.
+    """All memories after applying ``updates``, keyed by ``memory_id``, in one join.
 
     Updated rows take every field of the update, except that ``created_at`` is kept
     from the first write and ``custom_metadata`` is replaced only by a non-empty map.
-    Rows whose text did not change keep their vector: the embedder sees null for them.
+    With ``append``, text and ids go behind what is stored. Rows whose text did not
+    change keep their vector: the embedder sees null for them.
     """
     now = tx.moment(now)
     if stored is None:
@@ -146,25 +139,32 @@ def upsert(
     u, s = updates.alias("u"), stored.alias("s")
     hit = F.col("u.memory_id").isNotNull()
 
+    text, ids = F.col("u.transcript"), F.col("u.event_ids")
+    if append:
+        text = tx.append_text(F.col("s.transcript"), text)
+        known = F.coalesce(F.array_distinct("s.event_ids"), F.array().cast("array<string>"))
+        ids = F.concat(known, ids)
+
     def pick(name: str, new: Column | None = None) -> Column:
         new = F.col(f"u.{name}") if new is None else new
         return F.when(hit, new).otherwise(F.col(f"s.{name}")).alias(name)
 
-    changed = hit & ~(
-        F.col("u.transcript").eqNullSafe(F.col("s.transcript")) & F.col("s.embedding").isNotNull()
-    )
+    same = text.eqNullSafe(F.col("s.transcript")) & F.col("s.embedding").isNotNull()
+    changed = hit & ~same
     metadata = F.when(F.size("u.custom_metadata") > 0, F.col("u.custom_metadata")).otherwise(
         F.col("s.custom_metadata")
     )
     merged = u.join(s, F.col("u.memory_id") == F.col("s.memory_id"), "full_outer").select(
         F.coalesce("u.memory_id", "s.memory_id").alias("memory_id"),
-        *[pick(c) for c in (*SESSION_KEY, "transcript", "event_ids", "source")],
+        *[pick(c) for c in (*SESSION_KEY, "source")],
+        pick("transcript", text),
+        pick("event_ids", ids),
         pick("author", F.lit(config.memory_author)),
         metadata.alias("custom_metadata"),
         F.col("s.secure_metadata").alias("secure_metadata"),
         F.coalesce("s.created_at", now).alias("created_at"),
         pick("updated_at", now),
-        F.when(changed, F.col("u.transcript")).alias("_to_embed"),
+        F.when(changed, text).alias("_to_embed"),
         F.when(~changed, F.col("s.embedding")).alias("_kept"),
     )
     vector = F.coalesce(em.embed_column(config, F.col("_to_embed"), DOCUMENT_INPUT), F.col("_kept"))
@@ -186,7 +186,8 @@ def apply_delta(
     metadata: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """New events are appended to the text and ids of their sessions' memories."""
-    return upsert(stored, delta_updates(events, stored, config, metadata), config, now)
+    updates = delta_updates(events, stored, config, metadata)
+    return upsert(stored, updates, config, now, append=True)
 
 
 def insert_memories(

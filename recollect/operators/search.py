@@ -24,7 +24,9 @@ RECALLED_ROLE = "model"
 
 def prepare_queries(queries: DataFrame, config: MemoryConfig) -> DataFrame:
     """Drops blank queries and embeds the others, unless they bring an ``embedding``."""
-    asked = queries.filter(tx.has_text(F.col("query"))) if "query" in queries.columns else queries
+    asked = queries
+    if "query" in queries.columns:  # a plain comparison also lets Spark prune by these rows
+        asked = queries.filter(tx.strip(F.col("query")) != "")
     if "embedding" in queries.columns:
         return asked
     return em.embed(asked, config, "query", QUERY_INPUT)

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recollect import schema
-from recollect.config import MemoryConfig, Now
+from recollect.config import DEFAULT_SESSION, SESSION_KEY, TENANT, MemoryConfig, Now
+from recollect.functions import text as tx
 from recollect.operators import ingest
 from recollect.operators.retention import expired, live
-from recollect.operators.transcript import segments
 from recollect.sources.layout import (
     BUCKET,
     BUCKETS,
@@ -86,15 +86,12 @@ class MemoryTable:
 
     def find_session(self, app_name: str, user_id: str, session_id: str) -> DataFrame:
         """A session's memory; one folder is read."""
-        key = self.spark.range(1).select(
-            *[F.lit(v).alias(c) for c, v in zip(("app_name", "user_id", "session_id"), (app_name, user_id, session_id))]
-        )
-        where = self._folders(key.withColumn("memory_id", ingest.session_memory_id()))
-        return self.read(where).filter(
-            (F.col("app_name") == app_name)
-            & (F.col("user_id") == user_id)
-            & (F.col("session_id") == session_id)
-        )
+        key = dict(zip(SESSION_KEY, (app_name, user_id, session_id)))
+        named = self.spark.range(1).select(*[F.lit(v).alias(c) for c, v in key.items()])
+        found = self.read(self._folders(self._session_keys(named)))
+        for column, value in key.items():
+            found = found.filter(F.col(column) == value)
+        return found
 
     def interop(self, text_field: str = "text", vector_field: str = "embedding") -> DataFrame:
         """The table under the column names another reader expects."""
@@ -107,7 +104,7 @@ class MemoryTable:
     ) -> None:
         """Ingest whole sessions, replacing their memories."""
         self._rewrite(
-            self._folders(self._session_keys(segments(events))),
+            self._folders(self._session_keys(events)),
             lambda stored: ingest.ingest_sessions(events, config, now, stored),
             txn,
         )
@@ -127,9 +124,15 @@ class MemoryTable:
         """
         if self._done(txn):
             return
-        segs = segments(events, default_session=True)
-        near = self.read(self._folders(self._session_keys(segs)))
-        fresh = ingest.new_segments(segs, near)
+        session = tx.default_if_empty(F.col("session_id"), DEFAULT_SESSION)
+        arrived = events.select(
+            *TENANT,
+            session.alias("session_id"),
+            "seq",
+            F.coalesce("event_id", F.lit("")).alias("event_id"),
+        )
+        near = self.read(self._folders(self._session_keys(arrived)))
+        fresh = ingest.new_segments(arrived, near)
         self._rewrite(
             self._folders(self._session_keys(fresh)),
             lambda stored: ingest.apply_delta(events, config, now, stored, metadata),
@@ -161,6 +164,19 @@ class MemoryTable:
         everything = [(b, s) for b in range(self.buckets) for s in range(self.slices)]
         self._rewrite(everything, fn, txn)
 
+    def vacuum(self) -> int:
+        """Delete the files that later generations have replaced; readers that started
+        before should be done. Returns the number of folders removed."""
+        live_now = self._live_folders().select("gen", BUCKET, SLICE)
+        written = self._commits().filter("present").select("gen", BUCKET, SLICE)
+        removed = 0
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for r in written.join(live_now, ["gen", BUCKET, SLICE], "left_anti").collect():
+            name = f"{self.path}/data/gen={r.gen}/{BUCKET}={r[BUCKET]}/{SLICE}={r[SLICE]}"
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            removed += folder.getFileSystem(hadoop).delete(folder, True)
+        return removed
+
     # ---- folders and commits -------------------------------------------------
 
     def _placed(self, df: DataFrame) -> DataFrame:
@@ -168,7 +184,7 @@ class MemoryTable:
 
     def _session_keys(self, events: DataFrame) -> DataFrame:
         return events.select(
-            "app_name", "user_id", ingest.session_memory_id().alias("memory_id")
+            *TENANT, ingest.session_memory_id().alias("memory_id")
         )
 
     def _folders(self, rows: DataFrame) -> list[Folder]:
