@@ -1,5 +1,9 @@
 """Long-term conversation memory at table scale, expressed as Spark jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from recollect.config import MemoryConfig
 from recollect.operators.embedding import batch_embedder, column_embedder, hashing_embedder
 from recollect.operators.ingest import apply_delta, ingest_sessions, insert_memories
@@ -19,4 +23,8 @@ __all__ = [
     "search_memory",
 ]
 
+# Functions that run on executors travel with the job, so the package need not be
+# installed (or be on the path) there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

@@ -20,10 +20,10 @@ ZERO_BAND = 1e-9
 def planes(bits: int, dims: int) -> np.ndarray:
     """(dims, bits) matrix; +1 where the first hex digit of md5('plane:dim') is below 8."""
     signs = [
-        [1.0 if hashlib.md5(f"{j}:{i}".encode()).digest()[0] < 0x80 else -1.0 for j in range(bits)]
+        [1 if hashlib.md5(f"{j}:{i}".encode()).digest()[0] < 0x80 else -1 for j in range(bits)]
         for i in range(dims)
     ]
-    return np.array(signs)
+    return np.array(signs, dtype=np.int8)
 
 
 def signature(vector: Column, dims: int, bits: int = DEFAULT_BITS) -> Column:
@@ -35,9 +35,11 @@ def signature(vector: Column, dims: int, bits: int = DEFAULT_BITS) -> Column:
     if bits % 64:
         raise ValueError("bits must be a multiple of 64")
 
+    compact = planes(bits, dims)  # made once, sent with the job: one byte per entry
+
     @F.pandas_udf("array<bigint>")
     def sign_bits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matrix = planes(bits, dims)
+        matrix = compact.astype(np.float64)
         for vectors in batches:
             out: list = [None] * len(vectors)
             good = [i for i, v in enumerate(vectors) if v is not None and len(v) == dims]

@@ -15,6 +15,7 @@ from recollect.config import QUERY_INPUT
 from recollect.operators.embedding import embed
 from recollect.operators.ingest import ingest_sessions
 from recollect.plans import inputs as i
+from recollect.plans.inputs import DIMS
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -28,11 +29,11 @@ def hashing_model():
 
     def bucket(word: str) -> int:
         if word not in known:
-            known[word] = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % i.DIMS
+            known[word] = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % DIMS
         return known[word]
 
     def run(texts, input_type):
-        out = np.zeros((len(texts), i.DIMS))
+        out = np.zeros((len(texts), DIMS))
         for row, text in zip(out, texts):
             np.add.at(row, [bucket(w) for w in WORD.findall(text.lower())], 1.0)
         size = np.linalg.norm(out, axis=1, keepdims=True)
