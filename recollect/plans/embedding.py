@@ -51,11 +51,11 @@ def _cells(df: DataFrame, key: str) -> DataFrame:
     """One row per non-zero vector entry."""
     cells = df.select(key, F.posexplode("embedding").alias("dim", "value"))
     return cells.filter("value <> 0").select(
-        key, F.col("dim").cast("bigint").alias("dim"), F.round(F.col("value").cast("double"), 5).alias("value")
+        key, F.col("dim").cast("bigint").alias("dim"), F.col("value").cast("double").alias("value")
     )
 
 
-CELLS_SQL = """SELECT {key}, d AS dim, round(CAST(x AS DOUBLE), 5) AS value
+CELLS_SQL = """SELECT {key}, d AS dim, CAST(x AS DOUBLE) AS value
 FROM (SELECT id AS {key}, unnest(v) AS x, unnest(range(len(v))) AS d FROM vec) c WHERE x <> 0"""
 DOC_VECTORS = f"WITH {i.hash_vectors_sql('vec', 'documents', 'doc_id', 'text')} "
 
@@ -67,7 +67,7 @@ def e1_pluggable_embedder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(asked, "doc_id")
 
 
-E1 = DOC_VECTORS + CELLS_SQL.format(key="doc_id").replace("round(CAST(x", "round(-CAST(x")
+E1 = DOC_VECTORS + CELLS_SQL.format(key="doc_id").replace("CAST(x AS DOUBLE) AS value", "-CAST(x AS DOUBLE) AS value")
 
 
 def e2_batched_calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,11 +25,11 @@ from recollect.plans import inputs as i
 
 def _ranked(hits: DataFrame) -> DataFrame:
     return hits.select(
-        "query_id", "rank", "memory_id", F.round("similarity", 6).alias("similarity")
+        "query_id", "rank", "memory_id", "similarity"
     )
 
 
-RANKED_SQL = "SELECT query_id, rnk AS rank, memory_id, round(sim, 6) AS similarity"
+RANKED_SQL = "SELECT query_id, rnk AS rank, memory_id, sim AS similarity"
 VQ_SQL = f"""{i.VECTORS_SQL}, vq AS (SELECT memory_id AS query_id, app_name, user_id, v FROM vm)"""
 
 
@@ -88,8 +88,8 @@ def _pair_scores(metric: str):
         sim = vx.similarity(metric, F.col("embedding"), F.col("other"))
         return vec.join(before, "vec_id").select(
             "vec_id",
-            F.round(sim, 6).alias("similarity"),
-            F.round(vx.bounded_score(metric, sim), 6).alias("score"),
+            sim.alias("similarity"),
+            vx.bounded_score(metric, sim).alias("score"),
         )
 
     return run
@@ -98,7 +98,7 @@ def _pair_scores(metric: str):
 def _pair_sql(metric: str) -> str:
     sim = i.SIMILARITY_SQL[metric].format(a="CAST(a.embedding AS DOUBLE[])", b="CAST(b.embedding AS DOUBLE[])")
     score = "1 / (1 - s)" if metric == "euclidean" else "(1 + s) / 2"
-    return f"""SELECT vec_id, round(s, 6) AS similarity, round({score}, 6) AS score FROM (
+    return f"""SELECT vec_id, s AS similarity, {score} AS score FROM (
   SELECT a.vec_id, {sim} AS s FROM embeddings a JOIN embeddings b ON a.vec_id = b.vec_id + 1) p"""
 
 
@@ -182,14 +182,14 @@ def q8_score_without_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select(
         "query_id",
         "memory_id",
-        F.round(vx.bounded_score("cosine", F.col("similarity")), 6).alias("score"),
+        vx.bounded_score("cosine", F.col("similarity")).alias("score"),
         F.lit("embedding" in hits.columns).alias("has_vector"),
     )
 
 
 HITS_SQL = f"{VQ_SQL}, {i.top_k_sql('hits', 'vq', 'vm')}"
 Q8 = f"""WITH {HITS_SQL}
-SELECT query_id, memory_id, round((1 + sim) / 2, 6) AS score, false AS has_vector FROM hits"""
+SELECT query_id, memory_id, (1 + sim) / 2 AS score, false AS has_vector FROM hits"""
 
 
 def q9_shape_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +208,7 @@ def q9_shape_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         "role",
         "author",
         "timestamp",
-        F.round("score", 6).alias("score"),
+        "score",
         F.col("custom_metadata")["source"].alias("map_source"),
         F.when(F.col("custom_metadata")["score"].rlike("^[a-z]+$"), F.col("custom_metadata")["score"])
         .alias("map_score_text"),
@@ -218,7 +218,7 @@ def q9_shape_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q9 = f"""WITH {HITS_SQL}
 SELECT query_id, rnk AS rank, hits.memory_id, md5(transcript) AS text_md5, 'model' AS role, 'memory' AS author,
-  strftime(updated_at, '%Y-%m-%dT%H:%M:%S+00:00') AS timestamp, round((1 + sim) / 2, 6) AS score,
+  strftime(updated_at, '%Y-%m-%dT%H:%M:%S+00:00') AS timestamp, (1 + sim) / 2 AS score,
   CASE WHEN user_id = '1' THEN 'add_memory' ELSE coalesce(doc_source, 'add_memory') END AS map_source,
   CASE WHEN user_id = '1' THEN lang END AS map_score_text, true AS has_session_key
 FROM hits JOIN vm USING (memory_id) WHERE transcript <> ''"""
@@ -254,14 +254,14 @@ def q11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         "role",
         "author",
         "timestamp",
-        F.round("score", 5).alias("score"),
+        "score",
         F.col("custom_metadata")["session_id"].alias("session_id"),
     )
 
 
 Q11_COLUMNS = """query_id, rnk AS rank, memory_id, md5(transcript) AS text_md5, 'model' AS role,
   'memory' AS author, '2024-02-02T12:30:00.250000+00:00' AS timestamp,
-  round((1 + sim) / 2, 5) AS score, session_id"""
+  (1 + sim) / 2 AS score, session_id"""
 Q11 = f"WITH {OPENING_SQL} SELECT {Q11_COLUMNS} FROM hits JOIN tr USING (memory_id)"
 
 
@@ -269,7 +269,7 @@ def q11_search_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tenant, one question."""
     memories = ingest_sessions(i.events(spark, sf_dir), i.CONFIG, i.at(i.SECOND))
     found = search_memory(memories, i.CONFIG, "app0", "u0", "la question de éreux tion the and")
-    return found.select("rank", "memory_id", F.round("score", 5).alias("score"))
+    return found.select("rank", "memory_id", "score")
 
 
 Q11M = f"""WITH {i.EVENTS_SQL}, {i.transcripts_sql()},
@@ -279,19 +279,18 @@ oq AS (SELECT 'app0' AS app_name, 'u0' AS user_id, 0 AS query_id, 'la question d
 q AS (SELECT oq.query_id, app_name, user_id, CAST(v AS DOUBLE[]) AS v FROM oq JOIN qv ON qv.id = oq.query_id),
 m AS (SELECT tr.memory_id, app_name, user_id, CAST(v AS DOUBLE[]) AS v FROM tr JOIN mv ON mv.id = tr.memory_id),
 {i.top_k_sql("hits", "q", "m")}
-SELECT rnk AS rank, memory_id, round((1 + sim) / 2, 5) AS score FROM hits"""
+SELECT rnk AS rank, memory_id, (1 + sim) / 2 AS score FROM hits"""
 
 
 def q12_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = i.vector_queries(spark, sf_dir)
     memories = i.vector_memories(spark, sf_dir).drop("signature")
     exact = top_k(queries, memories, APPROXIMATE)
-    found = approximate.recall(exact, top_k(queries, memories, APPROXIMATE, "approximate"))
-    return found.withColumn("recall", F.round("recall", 6))
+    return approximate.recall(exact, top_k(queries, memories, APPROXIMATE, "approximate"))
 
 
 Q12 = f"""WITH {SIGNATURES_SQL}, {i.top_k_sql("hits", "vq", "vm")}
-SELECT h.query_id, count(*) AS exact_hits, round(avg(CASE WHEN a.memory_id IS NULL THEN 0 ELSE 1 END), 6) AS recall
+SELECT h.query_id, count(*) AS exact_hits, avg(CASE WHEN a.memory_id IS NULL THEN 0 ELSE 1 END) AS recall
 FROM hits h LEFT JOIN ap a ON a.query_id = h.query_id AND a.memory_id = h.memory_id GROUP BY 1"""
 
 

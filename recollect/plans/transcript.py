@@ -170,14 +170,13 @@ FROM dl LEFT JOIN pr USING (memory_id)"""
 
 def t11_compression_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = distill(transcripts(segments(i.events(spark, sf_dir))), keep_user_lines)
-    report = compression_report(done, ["app_name", "user_id"])
-    return report.withColumn("kept_ratio", F.round("kept_ratio", 6))
+    return compression_report(done, ["app_name", "user_id"])
 
 
 T11 = f"""WITH {DISTILLED_SQL}
 SELECT app_name, user_id, CAST(sum(length(transcript)) AS BIGINT) AS raw_chars,
        CAST(sum(length(stored_text)) AS BIGINT) AS kept_chars,
-       round(sum(length(stored_text)) / sum(length(transcript)), 6) AS kept_ratio
+       CAST(sum(length(stored_text)) AS DOUBLE) / CAST(sum(length(transcript)) AS DOUBLE) AS kept_ratio
 FROM ds GROUP BY 1, 2"""
 
 _CONNECT = "concat(text, ' db://u', doc_id, ':pw', doc_id, '@h/', source, ' key=sk-', doc_id)"
