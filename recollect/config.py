@@ -48,6 +48,9 @@ class MemoryConfig:
     dedupe_within_batch: bool = False
     strict_embedding: bool = True
     signature_bits: int | None = 256
+    #: Tasks to embed in. Left open, Spark sizes tasks by bytes, which is too coarse for a
+    #: slow model: 64 MB of text are one task.
+    embed_partitions: int | None = None
 
     def __post_init__(self) -> None:
         if self.embedder is None:
@@ -58,6 +61,8 @@ class MemoryConfig:
             raise ValueError("search_limit must be at least 1")
         if self.dimensions < 1:
             raise ValueError("dimensions must be at least 1")
+        if self.embed_partitions is not None and self.embed_partitions < 1:
+            raise ValueError("embed_partitions must be at least 1")
         if self.ttl_seconds is not None and self.ttl_seconds < 0:
             raise ValueError("ttl_seconds must not be negative")
 

@@ -50,6 +50,14 @@ def _vectorise(df: DataFrame, config: MemoryConfig, vector: Column) -> DataFrame
     return df.withColumn("signature", sig).select(*MEMORY_COLUMNS)
 
 
+def _spread(df: DataFrame, config: MemoryConfig) -> DataFrame:
+    """By ``memory_id`` into as many tasks as embedding should have; a join on that key
+    then needs no shuffle of its own."""
+    if config.embed_partitions is None:
+        return df
+    return df.repartition(config.embed_partitions, "memory_id")
+
+
 def session_updates(events: DataFrame, config: MemoryConfig) -> DataFrame:
     """What ingesting whole sessions sets: text, ids, source. Sessions without text vanish."""
     done = distill(transcripts(segments(events)), config.distiller)
@@ -127,7 +135,7 @@ def upsert(
     """
     now = tx.moment(now)
     if stored is None:
-        fresh = updates.select(
+        fresh = _spread(updates, config).select(
             "*",
             F.lit(config.memory_author).alias("author"),
             F.lit(None).cast("map<string,binary>").alias("secure_metadata"),
@@ -136,7 +144,7 @@ def upsert(
         )
         return _vectorise(fresh, config, em.embed_column(config, F.col("transcript"), DOCUMENT_INPUT))
 
-    u, s = updates.alias("u"), stored.alias("s")
+    u, s = _spread(updates, config).alias("u"), _spread(stored, config).alias("s")
     hit = F.col("u.memory_id").isNotNull()
 
     text, ids = F.col("u.transcript"), F.col("u.event_ids")
@@ -219,5 +227,5 @@ def insert_memories(
         now.alias("updated_at"),
     ).filter(F.col("transcript") != "")
     # embedding costs far more than moving its text, so first spread the rows evenly
-    rows = rows.repartition("memory_id")
+    rows = _spread(rows, config) if config.embed_partitions else rows.repartition("memory_id")
     return _vectorise(rows, config, em.embed_column(config, F.col("transcript"), DOCUMENT_INPUT))

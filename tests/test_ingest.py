@@ -98,3 +98,12 @@ def test_direct_memories(spark):
     assert got[0].memory_id != got[1].memory_id and got[0].session_id is None
     plain = insert_memories(rows, config, T1).filter("author = 'doctor'")
     assert one(plain).custom_metadata == {}
+
+
+def test_number_of_embedding_tasks_changes_nothing_else(spark):
+    spread = replace(CONFIG, embed_partitions=3)
+    stored = ingest_sessions(session(spark, TALK), CONFIG, T1)
+    delta = session(spark, [*TALK, ("user", "more")])
+    assert one(apply_delta(delta, spread, T2, stored)) == one(apply_delta(delta, CONFIG, T2, stored))
+    assert one(ingest_sessions(delta, spread, T2)) == one(ingest_sessions(delta, CONFIG, T2))
+    assert ingest_sessions(delta, spread, T2).rdd.getNumPartitions() == 3
