@@ -3,18 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recollect.llm import near_dup
+from recollect.llm import host_rules, line_dedup, near_dup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assessed = host_rules.assess(_documents(spark, sf_dir))
+    return assessed.withColumn("host_rate", F.round("host_rate", 6))
+
+
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_documents(spark, sf_dir))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_documents(spark, sf_dir), width=2, percent=80)
 
 
 QUERIES = {
+    "op1_host_rules": op1_host_rules,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op10_near_duplicates": op10_near_duplicates,
 }

@@ -2,6 +2,44 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_OP1 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)
+), twice AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1
+), repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, 8) AS r(k) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, source, len(w)::BIGINT AS n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), base AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
+), hosts AS (
+  SELECT source, count(*) AS docs, sum(base_failed::INT) AS failed FROM base WHERE source IS NOT NULL GROUP BY 1
+), moments AS (
+  SELECT avg(failed / docs) AS m, var_pop(failed / docs) AS v, avg(1 / docs) AS noise, avg(docs) AS size FROM hosts
+), prior AS (
+  SELECT m, CASE WHEN v - m * (1 - m) * noise > 0 AND v - m * (1 - m) * noise < m * (1 - m)
+    THEN greatest(m * (1 - m) / (v - m * (1 - m) * noise) - 1, 0) ELSE size END AS w FROM moments
+), rates AS (
+  SELECT source, (failed + m * w) / (docs + w) AS rate FROM hosts, prior
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  round(rate, 6) AS host_rate, NOT base_failed AND coalesce(rate, 0) <= 0.5 AS kept
+FROM base LEFT JOIN rates USING (source)
+"""
+
 _OP10 = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -39,5 +77,6 @@ FROM documents LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 """
 
 SQL = {
+    "op1_host_rules": _OP1,
     "op10_near_duplicates": _OP10,
 }

@@ -14,7 +14,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage, fixes row ids, and survives lost executors.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
