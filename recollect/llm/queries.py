@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.llm import host_rules, line_dedup, near_dup
+from recollect.llm import decontaminate, host_rules, licence_scan, line_dedup, near_dup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_documents(spark, sf_dir))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.licence_report(_documents(spark, sf_dir))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_documents(spark, sf_dir), width=2, percent=80)
 
@@ -28,5 +36,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op6_licences": op6_licences,
+    "op7_decontaminate": op7_decontaminate,
     "op10_near_duplicates": op10_near_duplicates,
 }

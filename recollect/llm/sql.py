@@ -1,5 +1,8 @@
 """DuckDB SQL for those queries that SQL can express."""
 
+from recollect.llm.licence_scan import MIN_SHARE, notices, postings
+from recollect.llm.licences import PHRASES
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _OP1 = r"""
@@ -40,6 +43,68 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base LEFT JOIN rates USING (source)
 """
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+_POSTINGS = ", ".join(f"('{w}', {n}, {p}, {i})" for w, n, p, i in postings())
+_NOTICES = ", ".join(
+    f"({n}, '{label}', {size}, {full}, [{', '.join(repr(p) for p in phrases)}])" for n, label, size, full, phrases in notices()
+)
+_PHRASES = ", ".join(f"({phrase.split()!r}, '{label}', {len(phrase.split())})" for phrase, label in PHRASES)
+
+_OP6 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents
+), w AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d
+), phrases(words, label, n) AS (VALUES {_PHRASES}
+), places AS (
+  SELECT w.doc_id, pos, label FROM w JOIN phrases ON w.word = words[1] JOIN d USING (doc_id)
+  WHERE d.w[pos + 1:pos + n] = words
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels
+  FROM places GROUP BY 1
+), index(word, notice, place, weight) AS (VALUES {_POSTINGS}
+), known(notice, label, len, total, phrases) AS (VALUES {_NOTICES}
+), votes AS (
+  SELECT doc_id, notice, pos - place AS start, sum(weight) AS got FROM w JOIN index USING (word) GROUP BY ALL
+), regions AS (
+  SELECT doc_id, label, got / total AS share, phrases,
+    ' ' || array_to_string(d.w[greatest(start, 0) + 1:start + len], ' ') || ' ' AS region
+  FROM votes JOIN known USING (notice) JOIN d USING (doc_id) WHERE got >= {MIN_SHARE} * total
+), found AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS score FROM regions
+  WHERE len(list_filter(phrases, lambda p: NOT contains(region, ' ' || p || ' '))) = 0 GROUP BY 1
+)
+SELECT doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ','), '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+_OP7 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS len, array_to_string(w[i:i + 9], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT len AS n FROM iw))
+), occ AS (
+  SELECT doc_id, i, n, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.n = iw.len
+), hit AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM occ, range(0, 10) AS r(k) WHERE k < n GROUP BY 1
+), items AS (
+  SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM occ GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 _OP10 = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -78,5 +143,7 @@ FROM documents LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 
 SQL = {
     "op1_host_rules": _OP1,
+    "op6_licences": _OP6,
+    "op7_decontaminate": _OP7,
     "op10_near_duplicates": _OP10,
 }
