@@ -53,7 +53,7 @@ def _similar(edges: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def link(buckets: DataFrame, sets_of, percent: int = 80, levels: int = 3) -> tuple[DataFrame, DataFrame] | None:
+def link(buckets: DataFrame, sets_of, percent: int = 80) -> tuple[DataFrame, DataFrame] | None:
     """Components of the rows that share a bucket and are similar.
 
     ``buckets(key, uid)``; ``sets_of(ids)`` gives the full sets ``(uid, items)`` of the rows
@@ -61,54 +61,55 @@ def link(buckets: DataFrame, sets_of, percent: int = 80, levels: int = 3) -> tup
     Returns ``nodes(node, root)`` and ``links(c, x)``, or None where no bucket has two rows.
 
     Each bucket has a centre, drawn by a hash so that two rows meet another one in each
-    bucket they share. Jaccard distance is a metric, so with the threshold at distance t
-
-    * rows within t of the centre are linked to it, and thus in one component;
-    * rows beyond 2t cannot be linked to those; they form a bucket of their own with a new
-      centre, for ``levels`` rounds (a link lost after that has been missed in every one
-      of the bands that the two rows share);
-    * rows between are compared with those rows of the bucket that are in another
-      component and whose distance to the centre differs by t at most.
+    bucket they share. Rows that end in another component than the centre get two more
+    centres, one of the whole bucket and one of themselves, round after round until a round
+    joins nothing. So the work of a round is in proportion to the bucket; what is left out
+    are links between rows that no centre joined in any of the bands they share.
     """
-    t = (100 - percent) / 100 + 1e-9
     is_link = F.expr(f"100 * inter >= {percent} * uni")
-    turn = F.struct(F.xxhash64("key", "uid").alias("h"), F.col("uid").alias("c"))
 
-    def centres(rows: DataFrame) -> DataFrame:
+    def centres(rows: DataFrame, level: int) -> DataFrame:
+        turn = F.struct(F.xxhash64(F.lit(level), "key", "uid").alias("h"), F.col("uid").alias("c"))
         found = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(turn).alias("m"))
         return found.filter("n > 1").select("key", F.col("m.c").alias("c"))
 
-    rows = stored(buckets.join(centres(buckets), "key"), "buckets")
+    rows = stored(buckets.join(centres(buckets, 0), "key"), "buckets")
     if not rows.take(1):
         return None
     sets = stored(sets_of(rows.select("uid").distinct()), "sets")
-    links = nodes = None
-    for _ in range(levels):
-        star = rows.filter("uid != c").select("c", F.col("uid").alias("x")).distinct()
-        scored = stored(_similar(star, sets), "scored")
-        fresh = scored.filter(is_link).select("c", "x")
-        links = fresh if links is None else links.union(fresh)
-        nodes = _joined(nodes, fresh)
-        placed = stored(_placed(rows, scored, nodes), "placed")
-        ring = placed.filter(f"d > {t} and d <= {2 * t}")
-        if ring.take(1):
-            pairs = (
-                ring.select("key", F.col("uid").alias("c"), F.col("d").alias("dc"), F.col("label").alias("lc"))
-                .join(placed, "key")
-                .filter(f"uid != c and label != lc and abs(d - dc) <= {t} and d > 0")
-                .select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
-            )
-            more = stored(_similar(pairs, sets).filter(is_link).select("c", "x"), "ring")
-            if more.take(1):
-                links = links.union(more)
-                nodes = _joined(nodes, more)
-        far = placed.filter(f"d > {2 * t}").select("key", "uid")
-        rows = stored(far.join(centres(far), "key"), "buckets")
-        if not rows.take(1):
+    star = rows.filter("uid != c").select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
+    tested = stored(_similar(star, sets), "tested")
+    links = tested.filter(is_link).select("c", "x")
+    nodes = components(links.toDF("a", "b"))
+    firsts = rows.select("key", "c").distinct()
+    level = 0
+    while True:
+        level += 1
+        label = nodes.select(F.col("node").alias("uid"), "root")
+        of_centre = _labelled(firsts, label.toDF("c", "root"), "c", "lc").select("key", "lc")
+        open_rows = _labelled(rows.select("key", "uid"), label, "uid", "label").join(of_centre, "key").filter("label != lc")
+        open_rows = stored(open_rows.select("key", "uid", "label"), "open")
+        if not open_rows.take(1):
             break
+        whole = rows.select("key", "uid").join(open_rows.select("key").distinct(), "key", "left_semi")
+        drawn = centres(whole, level).union(centres(open_rows, level))
+        drawn = _labelled(drawn, label.toDF("c", "root"), "c", "lc")
+        star = open_rows.join(drawn, "key").filter("label != lc")
+        star = star.select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
+        fresh = stored(_similar(star.join(tested.select("c", "x"), ["c", "x"], "left_anti"), sets), "tested")
+        tested = tested.union(fresh)
+        more = fresh.filter(is_link).select("c", "x")
+        if not more.take(1):
+            break
+        links, nodes = links.union(more), _joined(nodes, more)
     return nodes, links
 
 
+def _labelled(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
+    """``rows`` with the component of ``node``; a node without links is its own."""
+    return rows.join(label, node, "left").withColumn(name, F.coalesce("root", node)).drop("root")
+
+
 def _joined(nodes: DataFrame | None, fresh: DataFrame) -> DataFrame:
     """Components after adding links."""
     edges = fresh.toDF("a", "b")
@@ -117,14 +118,3 @@ def _joined(nodes: DataFrame | None, fresh: DataFrame) -> DataFrame:
             return nodes
         edges = edges.union(nodes.toDF("a", "b"))
     return components(edges)
-
-
-def _placed(rows: DataFrame, scored: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows of the buckets with their distance ``d`` to the centre and their component."""
-    distance = 1 - F.col("inter") / F.col("uni")
-    near = scored.select("c", F.col("x").alias("uid"), distance.alias("d"))
-    labels = nodes.select(F.col("node").alias("uid"), F.col("root"))
-    return (
-        rows.join(near, ["c", "uid"], "left").join(labels, "uid", "left")
-        .select("key", "uid", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("root", "uid").alias("label"))
-    )

@@ -5,22 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.llm import decontaminate, host_rules, licence_scan, line_dedup, near_dup
+from recollect.llm import bpe, decontaminate, host_rules, licence_scan, line_dedup, near_dup, packing, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file; only the driver reads it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     assessed = host_rules.assess(_documents(spark, sf_dir))
     return assessed.withColumn("host_rate", F.round("host_rate", 6))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode_ids(_documents(spark, sf_dir).select("doc_id", "text"), _tokenizer("byte_bpe_multi_50k.tiktoken"))
+    return packing.pack(ids)
+
+
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_documents(spark, sf_dir))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+
+
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan.licence_report(_documents(spark, sf_dir))
 
@@ -29,14 +45,21 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op9_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_documents(spark, sf_dir), _tokenizer("byte_bpe_multi_50k.tiktoken"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_documents(spark, sf_dir), width=2, percent=80)
 
 
 QUERIES = {
     "op1_host_rules": op1_host_rules,
+    "op3_packing": op3_packing,
     "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op5_token_counts": op5_token_counts,
     "op6_licences": op6_licences,
     "op7_decontaminate": op7_decontaminate,
+    "op9_transducer": op9_transducer,
     "op10_near_duplicates": op10_near_duplicates,
 }
