@@ -275,7 +275,7 @@ def prepared(spark, path: str):
     Workers keep what they learn (states, pre-tokens) in it from task to task.
     """
     tables = compile_tables(read_ranks(path))
-    tables["classes"] = pretokens.classes()
+    tables["classes"] = pretokens.classes(unicode16=True)
     return spark.sparkContext.broadcast(tables)
 
 
