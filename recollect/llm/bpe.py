@@ -319,3 +319,25 @@ def encode_ids(docs: DataFrame, path: str, out: str = "ids", text: str = "text")
         )
 
     return docs.withColumn(out, run(docs[f"`{text}`"].cast("string")))
+
+
+def decode_ids(docs: DataFrame, path: str, out: str = "decoded", ids: str = "ids") -> DataFrame:
+    """``docs`` with the text of the token ids in a column ``out``, decoded as a stream.
+
+    A column of that name is replaced; null ids give a null text, no ids an empty one.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_vocabulary(read_ranks(path)))  # the vocabulary
+
+    @F.arrow_udf("string")
+    def run(column: pa.Array) -> pa.Array:
+        voc, ends = shared.value
+        flat, bounds = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        texts = []
+        for a, b, there in zip(bounds[:-1], bounds[1:], column.is_valid().to_pylist()):
+            stream, parts = Utf8Stream(), []
+            for k in range(a, b, 1 << 16):
+                parts.append(stream.feed(spread(voc, ends, flat[k : min(k + (1 << 16), b)]).tobytes()))
+            texts.append("".join([*parts, stream.close()]) if there else None)
+        return pa.array(texts, pa.string())
+
+    return docs.withColumn(out, run(docs[f"`{ids}`"]))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.llm import bpe, decontaminate, host_rules, licence_scan, line_dedup, near_dup, packing, token_counts
+from recollect.llm import bpe, decontaminate, host_rules, licence_scan, line_dedup, near_dup, packing, quality_model, secret_scan, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     """The place of a public tokenizer's file; only the driver reads it."""
     import public_tokenizers
 
@@ -24,8 +24,12 @@ def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assessed.withColumn("host_rate", F.round("host_rate", 6))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(_documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode_ids(_documents(spark, sf_dir).select("doc_id", "text"), _tokenizer("byte_bpe_multi_50k.tiktoken"))
+    ids = bpe.encode_ids(_documents(spark, sf_dir).select("doc_id", "text"), tokenizer("byte_bpe_multi_50k.tiktoken"))
     return packing.pack(ids)
 
 
@@ -34,7 +38,7 @@ def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+    return token_counts.token_counts(_documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +49,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(_documents(spark, sf_dir), _tokenizer("byte_bpe_multi_50k.tiktoken"))
+    return bpe.round_trip(_documents(spark, sf_dir), tokenizer("byte_bpe_multi_50k.tiktoken"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +63,13 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_host_rules": op1_host_rules,
+    "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
     "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_token_counts": op5_token_counts,
     "op6_licences": op6_licences,
     "op7_decontaminate": op7_decontaminate,
+    "op8_quality": op8_quality,
     "op9_transducer": op9_transducer,
     "op10_near_duplicates": op10_near_duplicates,
 }
