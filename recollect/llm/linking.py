@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from recollect.llm.store import stored
 
+#: Further centres that the rows left over in a bucket are held against.
+WHOLE, OPEN = 16, 4
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges(a, b)``; root is the smallest reachable node.
@@ -56,24 +59,31 @@ def _similar(edges: DataFrame, sets: DataFrame) -> DataFrame:
 def link(buckets: DataFrame, sets_of, percent: int = 80) -> tuple[DataFrame, DataFrame] | None:
     """Components of the rows that share a bucket and are similar.
 
-    ``buckets(key, uid)``; ``sets_of(ids)`` gives the full sets ``(uid, items)`` of the rows
-    in ``ids(uid)``. Two rows are linked when ``100 * intersection >= percent * union``.
-    Returns ``nodes(node, root)`` and ``links(c, x)``, or None where no bucket has two rows.
+    ``buckets(key, uid, n)``, where n is the size of the row's set or null; ``sets_of(ids)``
+    gives the full sets ``(uid, items)`` of the rows in ``ids(uid)``. Two rows are linked when
+    ``100 * intersection >= percent * union``. Returns ``nodes(node, root)`` and
+    ``links(c, x)``, or None where no bucket has two rows.
 
     Each bucket has a centre, drawn by a hash so that two rows meet another one in each
-    bucket they share. Rows that end in another component than the centre get two more
-    centres, one of the whole bucket and one of themselves, round after round until a round
-    joins nothing. So the work of a round is in proportion to the bucket; what is left out
-    are links between rows that no centre joined in any of the bands they share.
+    bucket they share. Rows that end in another component than the centre are held, in a
+    second round, against WHOLE further centres of the bucket and OPEN of themselves. So the
+    work is in proportion to the bucket, whatever its size; what is left out are links
+    between rows that none of these joined in any of the bands they share.
     """
     is_link = F.expr(f"100 * inter >= {percent} * uni")
 
-    def centres(rows: DataFrame, level: int) -> DataFrame:
-        turn = F.struct(F.xxhash64(F.lit(level), "key", "uid").alias("h"), F.col("uid").alias("c"))
-        found = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(turn).alias("m"))
-        return found.filter("n > 1").select("key", F.col("m.c").alias("c"))
+    def centres(rows: DataFrame, slots: int, seed: int) -> DataFrame:
+        """Up to ``slots`` rows of each bucket, one for each value of a hash."""
+        h = F.xxhash64(F.lit(seed), "key", "uid")
+        drawn = rows.groupBy("key", F.pmod(h, F.lit(slots)).alias("slot")).agg(F.min(F.struct(h.alias("h"), "uid", "n")).alias("m"))
+        return drawn.select("key", F.col("m.uid").alias("c"), F.col("m.n").alias("nc"))
 
-    rows = stored(buckets.join(centres(buckets, 0), "key"), "buckets")
+    h = F.xxhash64("key", "uid")
+    firsts = (
+        buckets.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct(h.alias("h"), "uid")).alias("m"))
+        .filter("rows > 1").select("key", F.col("m.uid").alias("c"))
+    )
+    rows = stored(buckets.join(firsts, "key"), "buckets")
     if not rows.take(1):
         return None
     sets = stored(sets_of(rows.select("uid").distinct()), "sets")
@@ -81,28 +91,29 @@ def link(buckets: DataFrame, sets_of, percent: int = 80) -> tuple[DataFrame, Dat
     tested = stored(_similar(star, sets), "tested")
     links = tested.filter(is_link).select("c", "x")
     nodes = components(links.toDF("a", "b"))
-    firsts = rows.select("key", "c").distinct()
-    level = 0
-    while True:
-        level += 1
-        label = nodes.select(F.col("node").alias("uid"), "root")
-        of_centre = _labelled(firsts, label.toDF("c", "root"), "c", "lc").select("key", "lc")
-        open_rows = _labelled(rows.select("key", "uid"), label, "uid", "label").join(of_centre, "key").filter("label != lc")
-        open_rows = stored(open_rows.select("key", "uid", "label"), "open")
-        if not open_rows.take(1):
-            break
-        whole = rows.select("key", "uid").join(open_rows.select("key").distinct(), "key", "left_semi")
-        drawn = centres(whole, level).union(centres(open_rows, level))
-        drawn = _labelled(drawn, label.toDF("c", "root"), "c", "lc")
-        star = open_rows.join(drawn, "key").filter("label != lc")
-        star = star.select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
-        fresh = stored(_similar(star.join(tested.select("c", "x"), ["c", "x"], "left_anti"), sets), "tested")
-        tested = tested.union(fresh)
-        more = fresh.filter(is_link).select("c", "x")
-        if not more.take(1):
-            break
-        links, nodes = links.union(more), _joined(nodes, more)
-    return nodes, links
+
+    label = nodes.select(F.col("node").alias("uid"), "root")
+    of_centre = _labelled(rows.select("key", "c").distinct(), label.toDF("c", "root"), "c", "lc").select("key", "lc")
+    left = _labelled(rows.select("key", "uid", "n"), label, "uid", "label").join(of_centre, "key").filter("label != lc")
+    left = stored(left.select("key", "uid", "n", "label"), "open")
+    if not left.take(1):
+        return nodes, links
+    whole = rows.select("key", "uid", "n").join(left.select("key").distinct(), "key", "left_semi")
+    drawn = centres(whole, WHOLE, 1).union(centres(left, OPEN, 2))
+    drawn = _labelled(drawn, label.toDF("c", "root"), "c", "lc")
+    fits = F.coalesce(100 * F.least("n", "nc") >= percent * F.greatest("n", "nc"), F.lit(True))
+    star = left.join(drawn, "key").filter("label != lc").filter(fits)
+    star = star.select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
+    fresh = _similar(star.join(tested.select("c", "x"), ["c", "x"], "left_anti"), sets)
+    more = stored(fresh.filter(is_link).select("c", "x"), "more")
+    return _joined(nodes, more), links.union(more)
+
+
+def _joined(nodes: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Components after adding links."""
+    if not fresh.take(1):
+        return nodes
+    return components(fresh.toDF("a", "b").union(nodes.toDF("a", "b")))
 
 
 def _labelled(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
