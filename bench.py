@@ -44,7 +44,7 @@ def main() -> None:
     table = i.new_table(spark, "bench")
     table.add_sessions(events, i.CONFIG, i.at(i.SECOND))
     sessions = table.read()
-    questions = stored("questions", i.opening_questions(spark, SF_DIR))
+    questions = stored("questions", i.user_questions(spark, SF_DIR))
     memories = stored(
         "memories", with_signature(i.vector_memories(spark, SF_DIR).drop("signature"), i.CONFIG)
     )

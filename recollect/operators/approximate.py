@@ -43,26 +43,27 @@ def approximate_top_k(
     chosen = candidates(queries, memories, config).select(*TENANT, "query_id", "memory_id")
     if small:
         chosen = F.broadcast(chosen)
-    asked = queries.select(F.col("query_id").cast("string"), F.col("embedding").alias("_q"))
+    asked = queries.select(*TENANT, F.col("query_id").cast("string"), F.col("embedding").alias("_q"))
     sim = vx.similarity_in_batches(config.similarity)("embedding", "_q")
     scored = (
         memories.select(*TENANT, F.col("memory_id").cast("string").alias("memory_id"), "embedding")
         .join(chosen, [*TENANT, "memory_id"])
-        .join(asked, "query_id")
+        .join(asked, [*TENANT, "query_id"])
         .select(*TENANT, "query_id", "memory_id", sim.alias("similarity"))
     )
-    w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "memory_id")
+    w = Window.partitionBy(*TENANT, "query_id").orderBy(F.desc("similarity"), "memory_id")
     ranked = scored.withColumn("rank", F.row_number().over(w).cast("bigint"))
     return ranked.filter(F.col("rank") <= config.search_limit)
 
 
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
     """Share of each query's exact hits that the approximate search also found."""
-    found = approximate.select("query_id", "memory_id", F.lit(1.0).alias("_found"))
+    keys = [*TENANT, "query_id"]
+    found = approximate.select(*keys, "memory_id", F.lit(1.0).alias("_found"))
     return (
-        exact.select("query_id", "memory_id")
-        .join(found, ["query_id", "memory_id"], "left")
-        .groupBy("query_id")
+        exact.select(*keys, "memory_id")
+        .join(found, [*keys, "memory_id"], "left")
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("exact_hits"),
             F.avg(F.coalesce("_found", F.lit(0.0))).alias("recall"),

@@ -10,16 +10,21 @@ from recollect.operators.embedding import embedding_ok
 
 
 def leaks(results: DataFrame, queries: DataFrame, memories: DataFrame) -> DataFrame:
-    """Results whose memory belongs to another tenant than the one who asked."""
+    """Results whose memory belongs to another tenant than the one who asked.
+
+    Results carry the tenant who asked; query ids are unique within it only.
+    """
     asked = queries.select(
         F.col("query_id").cast("string").alias("query_id"),
         F.col("app_name").alias("asked_app"),
         F.col("user_id").alias("asked_user"),
-    )
+    ).distinct()
     owners = memories.select("memory_id", *TENANT)
     return (
-        results.select("query_id", "memory_id")
-        .join(asked, "query_id")
+        results.select(
+            "query_id", "memory_id", F.col("app_name").alias("asked_app"), F.col("user_id").alias("asked_user")
+        )
+        .join(asked, ["asked_app", "asked_user", "query_id"], "left_semi")
         .join(owners, "memory_id")
         .filter(
             (F.col("app_name") != F.col("asked_app")) | (F.col("user_id") != F.col("asked_user"))
@@ -31,8 +36,8 @@ def self_misses(results: DataFrame, queries: DataFrame, memories: DataFrame) ->
     """Queries of tenants that have memories but got none of their own back."""
     owners = memories.select("memory_id", *TENANT)
     own = (
-        results.select("query_id", "memory_id")
-        .join(owners, "memory_id")
+        results.select("query_id", "memory_id", *TENANT)
+        .join(owners, ["memory_id", *TENANT])
         .select("query_id", *TENANT)
         .distinct()
     )
@@ -95,9 +100,10 @@ def coverage(memories: DataFrame, config: MemoryConfig) -> DataFrame:
 
 def freshness(results: DataFrame, queries: DataFrame, min_results: int = 1) -> DataFrame:
     """Whether each query already gets ``min_results`` hits."""
-    counts = results.groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"))
+    keys = [*TENANT, "query_id"]
+    counts = results.groupBy(*keys).agg(F.count(F.lit(1)).alias("hits"))
     asked = queries.select(F.col("query_id").cast("string").alias("query_id"), *TENANT)
     hits = F.coalesce("hits", F.lit(0).cast("bigint"))
-    return asked.join(counts, "query_id", "left").select(
+    return asked.join(counts, keys, "left").select(
         "query_id", *TENANT, hits.alias("hits"), (hits >= min_results).alias("ready")
     )

@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 from recollect.config import Distiller
 from recollect.functions import text as tx
 
-# What the built-in distiller keeps, and its cap in characters.
+# What the built-in distiller keeps, and its usual cap in characters.
 KEPT_PREFIX = "user:"
 DISTILLED_CHARS = 2000
 
 
-def keep_user_lines(transcript: Column) -> Column:
-    """Built-in distiller: lines by the user, or everything if there are none, capped."""
+def keep_user_lines(transcript: Column, cap: int | None = DISTILLED_CHARS) -> Column:
+    """Built-in distiller: lines by the user, or everything if there are none.
+
+    The text is cut after ``cap`` characters; None keeps all of it
+    (``functools.partial(keep_user_lines, cap=None)`` as a distiller).
+    """
     lines = F.split(transcript, tx.LINE_BREAK)
     kept = F.filter(lines, lambda ln: F.lower(ln).startswith(KEPT_PREFIX))
     text = F.when(F.size(kept) > 0, F.array_join(kept, "\n")).otherwise(transcript)
-    return F.substring(text, 1, DISTILLED_CHARS)
+    return text if cap is None else F.substring(text, 1, cap)
 
 
 def batch_distiller(make_fn: Callable[[], Callable[[Sequence[str]], Sequence[str]]]) -> Distiller:

@@ -30,21 +30,30 @@ from recollect.operators.distill import distill
 from recollect.operators.transcript import segments, transcripts
 
 MEMORY_COLUMNS = schema.MEMORIES.fieldNames()
-#: Separates the parts of a key before hashing.
-UNIT = "\x1f"
+
+
+def key_of(*parts: Column | str) -> Column:
+    """A digest of the parts. Each is written with its length, so that no two different
+    keys come together whatever characters they hold; a null part is not an empty one."""
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    written = [F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in columns]
+    return F.sha2(F.concat(*written), 256)
 
 
 def session_memory_id(session: Column | None = None) -> Column:
     """Key of a session's one memory."""
     session = F.col("session_id") if session is None else session
-    return F.sha2(F.concat_ws(UNIT, "app_name", "user_id", session), 256)
+    return key_of("app_name", "user_id", session)
 
 
-def _vectorise(df: DataFrame, config: MemoryConfig, vector: Column) -> DataFrame:
-    """Adds ``embedding`` and ``signature``, and settles the column order."""
+def _vectorise(df: DataFrame, config: MemoryConfig, vector: Column, kept: str | None = None) -> DataFrame:
+    """Adds ``embedding`` and ``signature``, and settles the column order. A signature in
+    the column ``kept`` is taken as it is."""
     df = em.check_vectors(df.withColumn("embedding", vector), config)
     if config.signature_bits:
         sig = signature(F.col("embedding"), config.dimensions, config.signature_bits)
+        if kept:
+            sig = F.when(F.size(kept) == config.signature_bits // 64, F.col(kept)).otherwise(sig)
     else:
         sig = F.lit(None).cast("array<bigint>")
     return df.withColumn("signature", sig).select(*MEMORY_COLUMNS)
@@ -174,9 +183,10 @@ def upsert(
         pick("updated_at", now),
         F.when(changed, text).alias("_to_embed"),
         F.when(~changed, F.col("s.embedding")).alias("_kept"),
+        F.when(~changed, F.col("s.signature")).alias("_signature"),
     )
     vector = F.coalesce(em.embed_column(config, F.col("_to_embed"), DOCUMENT_INPUT), F.col("_kept"))
-    return _vectorise(merged, config, vector)
+    return _vectorise(merged, config, vector, "_signature")
 
 
 def ingest_sessions(
@@ -211,7 +221,7 @@ def insert_memories(
     without one each row gets a random key.
     """
     now = tx.moment(now)
-    key = F.uuid() if entry_id is None else F.sha2(F.concat_ws(UNIT, F.lit(SOURCE_DIRECT), entry_id), 256)
+    key = F.uuid() if entry_id is None else key_of(F.lit(SOURCE_DIRECT), entry_id.cast("string"))
     rows = entries.select(
         key.alias("memory_id"),
         "app_name",

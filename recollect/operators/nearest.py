@@ -46,7 +46,7 @@ def nearest(
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``app_name, user_id, query_id, memory_id, similarity, rank`` of the best ``k``
-    memories per query.
+    memories per query. Query ids need to be unique within their tenant only.
 
     Ordered by similarity (rounded, higher is closer), then ``memory_id``. ``metric`` is
     one of the similarity names, or ``hamming`` on signature columns, where the
@@ -84,7 +84,7 @@ def nearest(
         lambda batches: _scan(batches, k, metric),
         "app_name string, user_id string, query_id string, memory_id string, similarity double",
     )
-    w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "memory_id")
+    w = Window.partitionBy(*TENANT, "query_id").orderBy(F.desc("similarity"), "memory_id")
     return best.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
 
 
@@ -208,10 +208,22 @@ def _prepare(matrix: np.ndarray, metric: str) -> np.ndarray:
 
 def _similarities(queries: np.ndarray, memories: np.ndarray, metric: str) -> np.ndarray:
     if metric == "hamming":
-        return -np.stack([np.bitwise_count(memories ^ q).sum(axis=1) for q in queries]).astype(float)
+        # unpacked to -1 and 1, the product is (equal bits) - (differing bits)
+        a, b = _signs(queries), _signs(memories)
+        return ((a @ b.T - a.shape[1]) / 2).astype(np.float64)
     if metric == "euclidean":
         # differences, not the expanded square: that one loses the small distances
-        value = -np.stack([np.linalg.norm(memories - q, axis=1) for q in queries])
+        value = np.empty((len(queries), len(memories)))
+        step = max(1, TILE // max(1, memories.size))
+        for at in range(0, len(queries), step):
+            apart = queries[at : at + step, None, :] - memories[None, :, :]
+            value[at : at + step] = -np.sqrt(np.einsum("ijk,ijk->ij", apart, apart))
     else:
         value = queries @ memories.T
     return np.round(value, RANK_PLACES)
+
+
+def _signs(words: np.ndarray) -> np.ndarray:
+    """64-bit words as rows of -1 and 1."""
+    bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1)
+    return bits.astype(np.float32) * 2 - 1

@@ -46,8 +46,10 @@ def lookup_encrypted(
     memories: DataFrame, probes: DataFrame, path: str, key: bytes, value: str = "value"
 ) -> DataFrame:
     """Memories whose secured field equals a probe value, compared as ciphertext; the
-    stored values are never decrypted. The field must be deterministically encrypted."""
-    sought = probes.withColumn("_ct", encrypt(F.col(value), key, DETERMINISTIC, F.lit(path)))
+    stored values are never decrypted. The field must be deterministically encrypted.
+    A value that is asked repeatedly is looked up once."""
+    asked = probes.dropDuplicates([value])
+    sought = asked.withColumn("_ct", encrypt(F.col(value), key, DETERMINISTIC, F.lit(path)))
     held = memories.withColumn("_ct", F.col("secure_metadata")[path]).filter("_ct is not null")
     return held.join(sought, "_ct").drop("_ct")
 

@@ -33,7 +33,7 @@ def prepare_queries(queries: DataFrame, config: MemoryConfig) -> DataFrame:
 
 
 def shape_results(hits: DataFrame, config: MemoryConfig) -> DataFrame:
-    """Result rows: text, role, author, ISO time, score and the metadata map.
+    """Result rows: tenant, query, text, role, author, ISO time, score and the metadata map.
 
     The map starts with session, source and score; stored metadata of the same name
     replaces them there, but never the ``score`` column. Hits without text are left
@@ -49,6 +49,7 @@ def shape_results(hits: DataFrame, config: MemoryConfig) -> DataFrame:
         score.cast("string"),
     ).cast(STRING_MAP)
     return hits.filter(F.coalesce(F.col("transcript"), F.lit("")) != "").select(
+        *TENANT,
         F.col("query_id").cast("string").alias("query_id"),
         "rank",
         "memory_id",
@@ -78,12 +79,15 @@ def asked_tenants_only(memories: DataFrame, queries: DataFrame, small: bool) ->
 
 
 def with_memories(hits: DataFrame, memories: DataFrame, small: bool) -> DataFrame:
-    """Adds the memories' own columns (but no vectors) to the hits."""
+    """Adds the memories' own columns (but no vectors) to the hits. The hits carry the
+    tenant's bucket into a table laid out by it, so that texts of other buckets are not read."""
     columns = [c for c in memories.columns if c not in ("embedding", "signature", BUCKET, "slice")]
-    ranked = hits.select(*TENANT, "query_id", "memory_id", "similarity", "rank")
-    return memories.select(*columns).join(
-        F.broadcast(ranked) if small else ranked, [*TENANT, "memory_id"]
-    )
+    ranked, keys = hits.select(*TENANT, "query_id", "memory_id", "similarity", "rank"), [*TENANT, "memory_id"]
+    if BUCKET in memories.columns:
+        ranked = ranked.withColumn(BUCKET, tenant_bucket_like(memories))
+        keys.insert(0, BUCKET)
+        columns.append(BUCKET)
+    return memories.select(*columns).join(F.broadcast(ranked) if small else ranked, keys).drop(BUCKET)
 
 
 def budget(config: MemoryConfig, mode: str) -> int:

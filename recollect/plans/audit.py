@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from recollect.config import TENANT
 from recollect.functions.text import iso_timestamp
 from recollect.operators import audit
 from recollect.operators.ingest import ingest_sessions
@@ -92,6 +93,7 @@ def r3_isolation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results of a search that forgot the application: leaks and misses per tenant."""
     queries, memories = i.vector_queries(spark, sf_dir), i.vector_memories(spark, sf_dir)
     leaky = nearest(_pooled(queries), _pooled(memories), 2, "cosine", i.DIMS).filter("rank = 2")
+    leaky = leaky.drop("app_name").join(queries.select("query_id", *TENANT), ["query_id", "user_id"])
     return audit.isolation_report(leaky, queries, memories)
 
 

@@ -54,11 +54,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_of(table(spark, sf_dir, "conversations"))
 
 
-def opening_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every session asks, in its own tenant, what its first turn said."""
-    first = events(spark, sf_dir).filter("seq = 0")
-    return first.select(
-        F.col("session_id").alias("query_id"),
+def user_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of a user is asked again, in the user's own tenant."""
+    asked = events(spark, sf_dir).filter("author = 'user'")
+    return asked.select(
+        F.col("event_id").alias("query_id"),
         *TENANT,
         F.col("parts")[0]["text"].alias("query"),
     )
@@ -114,9 +114,9 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_memories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document memories that carry a customer's name and segment as side fields."""
+    """Document memories that carry, where there is one, a customer's name and segment as side fields."""
     docs, people = table(spark, sf_dir, "documents"), table(spark, sf_dir, "customer")
-    return docs.join(people, docs.doc_id == people.c_custkey).select(
+    return docs.join(people, docs.doc_id == people.c_custkey, "left").select(
         text_of(F.col("doc_id")).alias("memory_id"),
         F.concat(F.lit("app"), text_of(F.col("doc_id") % 3)).alias("app_name"),
         F.concat(F.lit("u"), text_of(F.col("doc_id") % 20)).alias("user_id"),
@@ -146,7 +146,8 @@ EVENTS_SQL = """ev AS (
 
 
 def memory_id_sql(session: str = "session_id") -> str:
-    return f"sha256(app_name || chr(31) || user_id || chr(31) || {session})"
+    parts = [f"length({c}) || ':' || {c}" for c in ("app_name", "user_id", session)]
+    return f"sha256({' || '.join(parts)})"
 
 
 def transcripts_sql(name: str = "tr", source: str = "ev", where: str = "true") -> str:

@@ -53,14 +53,14 @@ def brief_sql(source: str, rest: str, text: str = "transcript", ids: str = "even
 
 
 def _seeded(spark: SparkSession, sf_dir: str, name: str):
-    """A table holding the first four turns of every session."""
+    """A table holding every session."""
     table = i.new_table(spark, name)
-    table.add_sessions(i.events(spark, sf_dir).filter("seq < 4"), i.CONFIG, i.at(i.FIRST))
+    table.add_sessions(i.events(spark, sf_dir), i.CONFIG, i.at(i.FIRST))
     return table
 
 
 def _seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same without a table."""
+    """Memories of the first four turns of every session."""
     return ingest_sessions(i.events(spark, sf_dir).filter("seq < 4"), i.CONFIG, i.at(i.FIRST))
 
 
@@ -123,7 +123,7 @@ def s4_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STRIPPED = "trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
-S4 = f"""WITH {i.EVENTS_SQL}, {i.transcripts_sql(where="seq < 4")}, al AS (
+S4 = f"""{EV_TR}, al AS (
   SELECT app_name, user_id, 'add_session_to_memory' AS source, session_id, transcript FROM tr
   UNION ALL
   SELECT 'app' || (doc_id % 3), 'u' || (doc_id % 20), 'add_memory', NULL, {STRIPPED} FROM documents)
@@ -164,7 +164,7 @@ def s7_interop_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-S7 = f"""WITH {i.EVENTS_SQL}, {i.transcripts_sql(where="seq < 4")}
+S7 = f"""{EV_TR}
 SELECT session_id, md5(transcript) AS text_md5, CAST({i.DIMS} AS BIGINT) AS dims FROM tr"""
 
 
@@ -231,7 +231,7 @@ def w3_insert_memories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-W3 = f"""SELECT sha256('add_memory' || chr(31) || doc_id) AS memory_id, 'app' || (doc_id % 3) AS app_name,
+W3 = f"""SELECT sha256('10:add_memory' || length(doc_id::VARCHAR) || ':' || doc_id) AS memory_id, 'app' || (doc_id % 3) AS app_name,
   'u' || (doc_id % 20) AS user_id, CAST(NULL AS VARCHAR) AS session_id, md5({STRIPPED}) AS text_md5,
   true AS no_event_ids, 'memory' AS author, 'add_memory' AS source, lang, '7' AS batch,
   '{SECOND_ISO}' AS updated_at FROM documents"""

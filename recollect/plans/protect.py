@@ -13,7 +13,7 @@ POLICY = {"segment": crypto.DETERMINISTIC, "name": crypto.RANDOM}
 #: What counts as a mail address in a text.
 MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 CM_SQL = """cm AS (SELECT CAST(doc_id AS VARCHAR) AS memory_id, lang, c_name AS name, c_mktsegment AS segment, text
-FROM documents JOIN customer ON doc_id = c_custkey)"""
+FROM documents LEFT JOIN customer ON doc_id = c_custkey)"""
 
 
 def _protected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def p1_deterministic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-P1 = f"""WITH {CM_SQL} SELECT segment, CAST(1 AS BIGINT) AS ciphertexts, count(*) AS memories FROM cm GROUP BY 1"""
+P1 = f"""WITH {CM_SQL} SELECT segment, count(DISTINCT segment) AS ciphertexts, count(*) AS memories FROM cm GROUP BY 1"""
 
 
 def p2_randomised(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def p4_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("memory_id", "value")
 
 
-P4 = f"WITH {CM_SQL} SELECT memory_id, segment AS value FROM cm"
+P4 = f"WITH {CM_SQL} SELECT memory_id, segment AS value FROM cm WHERE segment IS NOT NULL"
 
 
 def p5_still_ciphertext(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,12 +88,12 @@ def p5_still_ciphertext(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-P5 = f"WITH {CM_SQL} SELECT count(*) AS present, CAST(0 AS BIGINT) AS in_clear, count(*) AS round_trips FROM cm"
+P5 = f"WITH {CM_SQL} SELECT count(name) AS present, CAST(0 AS BIGINT) AS in_clear, count(name) AS round_trips FROM cm"
 
 
 def p6_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the policy leaves readable, and what it moved."""
-    rows = _protected(spark, sf_dir)
+    """What the policy leaves readable, what it moved, and that what it moved comes back."""
+    rows = protect.decrypt_fields(_protected(spark, sf_dir), ["name", "segment"], i.session_key(spark))
     names = F.array_join(F.sort_array(F.map_keys("custom_metadata")), ",")
     moved = F.array_join(F.sort_array(F.map_keys("secure_metadata")), ",")
     return rows.select(
@@ -101,24 +101,27 @@ def p6_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("custom_metadata")["lang"].alias("lang"),
         names.alias("readable"),
         moved.alias("secured"),
+        "name",
+        "segment",
     )
 
 
-P6 = f"WITH {CM_SQL} SELECT memory_id, lang, 'lang' AS readable, 'name,segment' AS secured FROM cm"
+P6 = f"WITH {CM_SQL} SELECT memory_id, lang, 'lang' AS readable, CASE WHEN name IS NULL THEN '' ELSE 'name,segment' END AS secured, name, segment FROM cm"
 
 
 def p7_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Memories whose text gives away a mail address that is also a protected field."""
-    docs = i.table(spark, sf_dir, "documents").withColumn(
-        "mail", F.regexp_extract("text", MAIL, 0)
-    )
-    masked = F.when(F.col("lang") == "en", F.replace("text", F.col("mail"), F.lit("")))
-    rows = docs.withColumn("text", F.coalesce(F.when(F.col("mail") != "", masked), "text"))
+    """Every mail address of a text is a protected field; English texts have them masked."""
+    docs = i.table(spark, sf_dir, "documents")
+    mails = F.array_distinct(F.regexp_extract_all("text", F.lit(MAIL), F.lit(0)))
+    masked = F.when(F.col("lang") == "en", F.regexp_replace("text", MAIL, "")).otherwise(F.col("text"))
+    rows = docs.select("doc_id", masked.alias("text"), F.explode(mails).alias("mail"))
     return protect.exposure(rows, F.col("mail"), "text").select("doc_id", "mail")
 
 
-P7 = f"""SELECT doc_id, mail FROM (SELECT *, regexp_extract(text, '{MAIL}') AS mail FROM documents) d
-WHERE mail <> '' AND lang <> 'en'"""
+P7 = f"""SELECT doc_id, mail FROM (
+  SELECT doc_id, lang, unnest(list_distinct(regexp_extract_all(text, '{MAIL}'))) AS mail,
+         CASE WHEN lang = 'en' THEN regexp_replace(text, '{MAIL}', '', 'g') ELSE text END AS shown FROM documents) d
+WHERE contains(shown, mail)"""
 
 
 QUERIES = {

@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from recollect.config import TENANT
 from recollect.functions import vectors as vx
@@ -42,8 +43,8 @@ def session_memories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- text questions over session memories ------------------------------------
 
-OPENING_SQL = f"""{i.EVENTS_SQL}, {i.transcripts_sql()},
-oq AS (SELECT session_id AS query_id, app_name, user_id, text AS query FROM ev WHERE seq = 0),
+QUESTIONS_SQL = f"""{i.EVENTS_SQL}, {i.transcripts_sql()},
+oq AS (SELECT event_id AS query_id, app_name, user_id, text AS query FROM ev WHERE author = 'user'),
 {i.hash_vectors_sql("qv", "oq", "query_id", "query")},
 {i.hash_vectors_sql("mv", "tr", "memory_id", "transcript")},
 q AS (SELECT oq.query_id, app_name, user_id, CAST(v AS DOUBLE[]) AS v FROM oq JOIN qv ON qv.id = oq.query_id),
@@ -68,15 +69,20 @@ SELECT event_id AS query_id, app_name, user_id FROM ev WHERE author = 'user'"""
 
 
 def q2_tenant_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With no limit in the way, exactly the tenant's own memories come back."""
-    config = replace(i.CONFIG, search_limit=1_000_000)
-    hits = top_k(i.vector_queries(spark, sf_dir), i.vector_memories(spark, sf_dir), config)
-    return hits.groupBy("query_id", *TENANT).agg(F.count(F.lit(1)).alias("memories"))
+    """Every query gets as many memories as its tenant has, up to the limit, and all its own."""
+    memories = i.vector_memories(spark, sf_dir)
+    hits = top_k(i.vector_queries(spark, sf_dir), memories, i.CONFIG)
+    owner = memories.select("memory_id", F.struct(*TENANT).alias("owner"))
+    return hits.join(owner, "memory_id").groupBy("query_id", *TENANT).agg(
+        F.count(F.lit(1)).alias("memories"),
+        F.count_if(F.col("owner") == F.struct(*TENANT)).alias("own"),
+    )
 
 
 Q2 = f"""WITH {VQ_SQL}
-SELECT q.query_id, q.app_name, q.user_id, count(*) AS memories
-FROM vq q JOIN vm m ON q.app_name = m.app_name AND q.user_id = m.user_id GROUP BY 1, 2, 3"""
+SELECT q.query_id, q.app_name, q.user_id, least(n, 5) AS memories, least(n, 5) AS own
+FROM vq q JOIN (SELECT app_name, user_id, count(*) AS n FROM vm GROUP BY 1, 2) m
+ON q.app_name = m.app_name AND q.user_id = m.user_id"""
 
 
 def _pair_scores(metric: str):
@@ -175,6 +181,36 @@ def q7_approximate_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q7 = f"WITH {SIGNATURES_SQL} {RANKED_SQL} FROM ap"
 
 
+def _locally_numbered(queries: DataFrame) -> DataFrame:
+    """Each tenant numbers its queries from 1."""
+    place = F.row_number().over(Window.partitionBy(*TENANT).orderBy(F.col("query_id").cast("long")))
+    return queries.withColumn("query_id", place.cast("string"))
+
+
+def _by_local_ids(mode: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        memories = i.vector_memories(spark, sf_dir).drop("signature")
+        hits = top_k(_locally_numbered(i.vector_queries(spark, sf_dir)), memories, APPROXIMATE, mode)
+        return hits.select(*TENANT, "query_id", "rank", "memory_id", "similarity")
+
+    return run
+
+
+def q11_local_query_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole search in which every tenant has a first query."""
+    found = search(_locally_numbered(i.vector_queries(spark, sf_dir)), i.vector_memories(spark, sf_dir), i.CONFIG)
+    return found.select(*TENANT, "query_id", "rank", "memory_id", "score")
+
+
+_LOCAL_SQL = """, ln AS (SELECT query_id AS gid, app_name, user_id, CAST(row_number() OVER (
+  PARTITION BY app_name, user_id ORDER BY CAST(query_id AS BIGINT)) AS VARCHAR) AS query_id FROM vq)
+SELECT ln.app_name, ln.user_id, ln.query_id, h.rnk AS rank, h.memory_id, """
+Q6L = f"""WITH {VQ_SQL}, {i.top_k_sql("h", "vq", "vm")} {_LOCAL_SQL} h.sim AS similarity FROM h JOIN ln ON ln.gid = h.query_id"""
+Q7L = f"""WITH {SIGNATURES_SQL} {_LOCAL_SQL} h.sim AS similarity FROM ap h JOIN ln ON ln.gid = h.query_id"""
+Q11L = f"""WITH {VQ_SQL}, {i.top_k_sql("h", "vq", "vm")} {_LOCAL_SQL} (1 + h.sim) / 2 AS score
+FROM h JOIN ln ON ln.gid = h.query_id JOIN vm ON vm.memory_id = h.memory_id WHERE vm.transcript <> ''"""
+
+
 def q8_score_without_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     memories = i.vector_memories(spark, sf_dir)
     queries = i.vector_queries(spark, sf_dir)
@@ -242,9 +278,9 @@ WHERE transcript <> '' AND lang <> 'de' GROUP BY 1"""
 
 
 def q11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions into a table, then every opening question answered from its own tenant."""
+    """Sessions into a table, then every question of a user answered from its own tenant."""
     found = search(
-        i.opening_questions(spark, sf_dir), session_memories(spark, sf_dir), i.CONFIG
+        i.user_questions(spark, sf_dir), session_memories(spark, sf_dir), i.CONFIG
     )
     return found.select(
         "query_id",
@@ -262,7 +298,7 @@ def q11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q11_COLUMNS = """query_id, rnk AS rank, memory_id, md5(transcript) AS text_md5, 'model' AS role,
   'memory' AS author, '2024-02-02T12:30:00.250000+00:00' AS timestamp,
   (1 + sim) / 2 AS score, session_id"""
-Q11 = f"WITH {OPENING_SQL} SELECT {Q11_COLUMNS} FROM hits JOIN tr USING (memory_id)"
+Q11 = f"WITH {QUESTIONS_SQL} SELECT {Q11_COLUMNS} FROM hits JOIN tr USING (memory_id)"
 
 
 def q11_search_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +322,8 @@ def q12_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = i.vector_queries(spark, sf_dir)
     memories = i.vector_memories(spark, sf_dir).drop("signature")
     exact = top_k(queries, memories, APPROXIMATE)
-    return approximate.recall(exact, top_k(queries, memories, APPROXIMATE, "approximate"))
+    found = approximate.recall(exact, top_k(queries, memories, APPROXIMATE, "approximate"))
+    return found.drop(*TENANT)
 
 
 Q12 = f"""WITH {SIGNATURES_SQL}, {i.top_k_sql("hits", "vq", "vm")}
@@ -304,6 +341,9 @@ QUERIES = {
     "q6_top_k_euclidean": (_top_by("euclidean"), _top_sql("euclidean")),
     "q6_top_k_dot_product": (_top_by("dotProduct"), _top_sql("dotProduct")),
     "q6_top_k_split_tenants": (q6_split_tenants, Q6B),
+    "q6_local_query_ids": (_by_local_ids("exact"), Q6L),
+    "q7_local_query_ids": (_by_local_ids("approximate"), Q7L),
+    "q11_local_query_ids": (q11_local_query_ids, Q11L),
     "q7_candidates": (q7_candidates, Q7C),
     "q7_approximate_search": (q7_approximate_search, Q7),
     "q8_score_without_vector": (q8_score_without_vector, Q8),

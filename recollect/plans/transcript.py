@@ -26,7 +26,7 @@ T1 = "SELECT conv_id, turn, replace(text, chr(10), '') AS joined FROM conversati
 
 
 def _uneven_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as they arrive: system turns say nothing, ids and authors may be missing."""
+    """Events as they arrive: system turns say nothing, every fifth turn has no content, ids and authors may be missing."""
     said = F.when(F.col("author") == "system", F.lit(" \t\n ")).otherwise(
         F.concat(F.lit("\n 　"), F.col("parts")[0]["text"], F.lit(" \t\n"))
     )
@@ -36,7 +36,7 @@ def _uneven_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq",
         F.when(F.col("author") == "user", F.col("event_id")).alias("event_id"),
         F.when(F.col("author") == "user", F.col("author")).alias("author"),
-        F.when(F.col("seq") < 6, i.one_part(said)).alias("parts"),
+        F.when(F.col("seq") % 5 != 4, i.one_part(said)).alias("parts"),
     )
 
 
@@ -49,7 +49,7 @@ def t2_drop_blank_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 T2 = f"""WITH {i.EVENTS_SQL}
 SELECT app_name, user_id, session_id, count(*) AS kept, CAST(sum(seq) AS BIGINT) AS seq_sum
-FROM ev WHERE author <> 'system' AND seq < 6 GROUP BY 1, 2, 3"""
+FROM ev WHERE author <> 'system' AND seq % 5 <> 4 GROUP BY 1, 2, 3"""
 
 
 def t3_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def t3_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 T3 = f"""WITH {i.EVENTS_SQL}
-SELECT session_id, seq, text, length(text) AS chars FROM ev WHERE author <> 'system' AND seq < 6"""
+SELECT session_id, seq, text, length(text) AS chars FROM ev WHERE author <> 'system' AND seq % 5 <> 4"""
 
 
 def t4_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def t4_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 T4 = f"""WITH {i.EVENTS_SQL}
 SELECT session_id, seq, CASE WHEN author = 'user' THEN author ELSE 'unknown' END AS author,
        CASE WHEN author = 'user' THEN event_id ELSE '' END AS event_id
-FROM ev WHERE author <> 'system' AND seq < 6"""
+FROM ev WHERE author <> 'system' AND seq % 5 <> 4"""
 
 
 def t5_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,7 @@ T6 = f"""WITH {i.EVENTS_SQL}, tw AS (SELECT * FROM ev UNION ALL SELECT * FROM ev
 SELECT app_name, user_id, session_id,
        coalesce(string_agg(event_id, ',' ORDER BY seq) FILTER (author = 'user'), '') AS event_ids,
        count(*) FILTER (author = 'user') AS ids
-FROM tw WHERE author <> 'system' AND seq < 6 GROUP BY 1, 2, 3"""
+FROM tw WHERE author <> 'system' AND seq % 5 <> 4 GROUP BY 1, 2, 3"""
 
 
 def t7_default_session(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +229,7 @@ def t15_entry_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 T15 = """SELECT 'app' || (doc_id % 3) AS app_name, 'u' || (doc_id % 20) AS user_id,
-  sha256('add_memory' || chr(31) || doc_id) AS memory_id,
+  sha256('10:add_memory' || length(doc_id::VARCHAR) || ':' || doc_id) AS memory_id,
   trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text
 FROM documents WHERE lang <> 'de'"""
 
