@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from recollect.llm import arrays, pretokens
 
 #: States and pre-tokens kept in a worker; a full cache is emptied and built anew.
-STATES, KNOWN = 150_000, 300_000
+STATES, KNOWN = 150_000, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -126,9 +128,10 @@ class Transducer:
         self.endings[tail] = ending = (found, grow[0], [len(s) for s in grow])
         return ending
 
-    def _step(self, state: tuple, byte: bytes) -> tuple:
-        """``(ids emitted, next state)``; a state is the token before, the bytes pending, their
-        last tokens, and the longest suffix that can still grow."""
+    def _step(self, state: tuple, byte: bytes) -> int | tuple[list[int], int]:
+        """The number of the next state, with the ids emitted if there are any. A state is the
+        token before, the bytes pending, their last tokens, and the longest suffix that can
+        still grow."""
         left, pending, last, tail = state
         pending += byte
         end = len(pending)
@@ -148,7 +151,7 @@ class Transducer:
                 else:
                     cut -= len(last[cut - 1])
         if not cut:
-            return (), self._number((left, pending, last, tail))
+            return self._number((left, pending, last, tail))
         emitted, at = [], cut
         while at:
             emitted.append(last[at - 1])
@@ -170,9 +173,11 @@ class Transducer:
             step = moves.get(key)
             if step is None:
                 step = moves[key] = self._step(self.states[state], bytes((byte,)))
-            if step[0]:
+            if step.__class__ is int:
+                state = step
+            else:
                 found += step[0]
-            state = step[1]
+                state = step[1]
         _, pending, last, _ = self.states[state]
         at, rest = len(pending), []
         while at:
@@ -232,7 +237,8 @@ def spread(flat: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> np.ndarra
 
 def encoded(column: pa.Array, tables: dict):
     """For each piece of a batch: text bounds in tokens, all ids, and the pre-tokens as
-    ``(which, bounds in pre-tokens, decimal ids of the distinct ones)``."""
+    ``(which, bounds in pre-tokens, ids and decimal ids of the distinct ones)``."""
+    gc.disable()  # states and pre-tokens hold no cycles, and walking through them takes time
     machine, known, table = Transducer(tables), tables["known"], tables["classes"]
     for data, bounds in arrays.pieces(column):
         starts = pretokens.split(data, bounds, table)
@@ -243,10 +249,11 @@ def encoded(column: pa.Array, tables: dict):
             if ids is None:
                 if len(known) > KNOWN:
                     known.clear()
-                ids = known[text] = tuple(machine.encode(text))
+                ids = machine.encode(text)
+                ids = known[text] = tuple(ids), ",".join(map(str, ids)).encode()
             lists.append(ids)
-        sizes = np.array([len(ids) for ids in lists], np.int64)
-        flat = np.array([i for ids in lists for i in ids], np.int64)
+        sizes = np.fromiter((len(ids) for ids, _ in lists), np.int64, len(lists))
+        flat = np.fromiter(itertools.chain.from_iterable(ids for ids, _ in lists), np.int64, int(sizes.sum()))
         ends = np.concatenate([[0], np.cumsum(sizes)])
         first = np.searchsorted(starts, bounds)
         total = np.concatenate([[0], np.cumsum(sizes[which])]) if len(which) else np.zeros(1, np.int64)
@@ -256,7 +263,7 @@ def encoded(column: pa.Array, tables: dict):
 def _digests(column: pa.Array, tables: dict, voc: np.ndarray, voc_ends: np.ndarray) -> list[tuple]:
     rows = []
     for first, ids, which, places, lists in encoded(column, tables):
-        decimal = np.array([",".join(map(str, x)).encode() for x in lists], object)
+        decimal = np.array([text for _, text in lists], object)
         for a, b, p, q in zip(first[:-1], first[1:], places[:-1], places[1:]):
             text = hashlib.sha256()
             stream = Utf8Stream()
