@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recollect.llm import arrays
@@ -82,14 +82,17 @@ def _counts(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-@F.arrow_udf("struct<" + ", ".join(f"{c}:long" for c in _COUNTS) + ">")
-def rule_counts(column: pa.Array) -> pa.Array:
-    """Column function: the counts that the rules look at, of each whole text."""
+def _batch(column: pa.Array) -> pa.Array:
     parts = [_counts(*piece) for piece in arrays.pieces(column)]
     whole = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(len(_COUNTS))]
     return pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in whole], _COUNTS)
 
 
+def rule_counts(text: Column) -> Column:
+    """The counts that the rules look at, of each whole text."""
+    return F.arrow_udf(_batch, "struct<" + ", ".join(f"{c}:long" for c in _COUNTS) + ">")(text)
+
+
 def host_rates(counted: DataFrame) -> DataFrame:
     """``host, docs, failed, rate`` of ``counted(host, base_failed)``; null hosts are left out.
 
