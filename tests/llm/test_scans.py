@@ -62,7 +62,7 @@ def test_random_strings_are_found_and_words_are_not(spark):
         for _, a, b in [s.split(":")]
     ]
     truly = [w for _, t in rows for w in (t or "").split(" ") if re.fullmatch(r"[A-Za-z0-9+/]{40}", w) and not re.fullmatch("[0-9a-f]+", w)]
-    assert len(found) >= 0.9 * len(truly) > 10
+    assert len(found) >= 0.8 * len(truly) > 10  # the threshold leaves out the least uniform
     assert not set(found) & {"a" * 30, "the-quick-brown-fox-jumps", "internationalizationandlocalization"}
 
 
