@@ -61,7 +61,8 @@ def _occurrences(words: DataFrame, wins: DataFrame) -> DataFrame:
     near = places.select("uid", "n", start.alias("start"), "len").filter("start >= 0 and start + len <= n")
     near = stored(near.groupBy("uid").agg(F.collect_set(F.struct("start", "len")).alias("at")), "candidates")
     slices = F.transform("at", lambda a: F.struct(a.start.alias("start"), a.len.alias("len"), F.slice("words", a.start + 1, a.len).alias("win")))
-    found = words.select("uid", "words").join(_small(near), "uid").select("uid", F.explode(slices).alias("a"))
+    # candidates grow with the documents, so no broadcast is asked for
+    found = words.select("uid", "words").join(near, "uid").select("uid", F.explode(slices).alias("a"))
     return stored(found.select("uid", "a.*").join(_small(wins.drop("len")), "win").drop("win"), "occurrences")
 
 
