@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-KEY_CONF = "recollect.protect.key"
+#: "secret" in its name makes Spark redact the setting wherever settings are shown.
+KEY_CONF = "recollect.protect.secret"
 DETERMINISTIC = "deterministic"
 RANDOM = "random"
 _BLOCK = 64  # block size of SHA-256 in bytes
@@ -22,6 +26,11 @@ def key_from_conf(spark: SparkSession) -> bytes:
     return key
 
 
+def _derived(key: bytes, purpose: str) -> bytes:
+    """A key of its own for each purpose, so that no key serves two algorithms."""
+    return hmac.new(key, purpose.encode(), hashlib.sha256).digest()
+
+
 def _binary(c: Column) -> Column:
     return F.unhex(c)
 
@@ -40,19 +49,19 @@ def encrypt(value: Column, key: bytes, algorithm: str, aad: Column) -> Column:
     under one ``aad`` give equal ciphertext; random mode takes a fresh nonce per row."""
     if algorithm == DETERMINISTIC:
         message = F.concat(aad.cast("binary"), F.lit(bytearray(1)), value.cast("binary"))
-        nonce = F.substring(hmac_sha256(key, message), 1, 12)
+        nonce = F.substring(hmac_sha256(_derived(key, "nonce"), message), 1, 12)
     elif algorithm == RANDOM:
         nonce = F.lit("")
     else:
         raise ValueError(f"unknown algorithm {algorithm!r}")
     return F.aes_encrypt(
-        value, F.lit(bytearray(key)), F.lit("GCM"), F.lit("DEFAULT"), nonce.cast("binary"), aad
+        value, F.lit(bytearray(_derived(key, "encrypt"))), F.lit("GCM"), F.lit("DEFAULT"), nonce.cast("binary"), aad
     )
 
 
 def decrypt(ciphertext: Column, key: bytes, aad: Column) -> Column:
     """Plaintext, or null when key or ``aad`` do not match."""
     plain = F.try_aes_decrypt(
-        ciphertext, F.lit(bytearray(key)), F.lit("GCM"), F.lit("DEFAULT"), aad
+        ciphertext, F.lit(bytearray(_derived(key, "encrypt"))), F.lit("GCM"), F.lit("DEFAULT"), aad
     )
     return plain.cast("string")

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Long hexadecimal literals, which is how keys would show in plans.
+REDACTED = r"(?i)\b(0x|x')?[0-9a-f]{48,}'?"
+
 
 def build_session(app_name: str = "recollect", cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A local session with the settings the jobs expect; clusters bring their own."""
@@ -19,6 +22,7 @@ def build_session(app_name: str = "recollect", cores: int | str = "*", partition
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.redaction.string.regex", REDACTED)
         .getOrCreate()
     )
 

@@ -3,23 +3,25 @@
 ``data/gen=N/tenant_bucket=B/slice=S`` holds the files, ``commits/gen=N`` one small file
 naming the folders of that generation. A write becomes visible with its commit file
 and never touches a folder being read, so a lost executor, a retried task or a driver
-that dies half-way leave the table as it was. One writer at a time is assumed.
+that dies half-way leave the table as it was. A write first claims its generation by a
+file that only one writer can create; another writer fails before it has read anything.
 
 Only the folders a write touches are read and rewritten; plain appends rewrite nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recollect import schema
-from recollect.config import DEFAULT_SESSION, SESSION_KEY, TENANT, MemoryConfig, Now
-from recollect.functions import text as tx
+from recollect.config import SESSION_KEY, TENANT, MemoryConfig, Now
 from recollect.operators import ingest
 from recollect.operators.retention import expired, live
+from recollect.operators.transcript import segments
 from recollect.sources.layout import (
     BUCKET,
     BUCKETS,
@@ -36,6 +38,10 @@ _DATA = f"{BUCKET} int, {SLICE} int"
 Folder = tuple[int, int]
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer holds the claim to the next generation."""
+
+
 class MemoryTable:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
@@ -124,13 +130,7 @@ class MemoryTable:
         """
         if self._done(txn):
             return
-        session = tx.default_if_empty(F.col("session_id"), DEFAULT_SESSION)
-        arrived = events.select(
-            *TENANT,
-            session.alias("session_id"),
-            "seq",
-            F.coalesce("event_id", F.lit("")).alias("event_id"),
-        )
+        arrived = segments(events, default_session=True)
         near = self.read(self._folders(self._session_keys(arrived)))
         fresh = ingest.new_segments(arrived, near)
         self._rewrite(
@@ -142,7 +142,8 @@ class MemoryTable:
     def add_memories(self, memories: DataFrame, txn: str | None = None) -> None:
         """Append independent memories (see :func:`recollect.operators.ingest.insert_memories`)."""
         if not self._done(txn):
-            self._write(memories, APPEND, None, txn)
+            with self._claimed() as gen:
+                self._write(gen, memories, APPEND, None, txn)
 
     def delete_tenant(self, app_name: str, user_id: str, txn: str | None = None) -> None:
         own = self.spark.range(1).select(tenant_bucket(self.buckets, F.lit(app_name), F.lit(user_id)))
@@ -212,12 +213,37 @@ class MemoryTable:
         self, folders: list[Folder], fn: Callable[[DataFrame], DataFrame], txn: str | None
     ) -> None:
         if folders and not self._done(txn):
-            self._write(fn(self.read(folders)), REPLACE, folders, txn)
+            with self._claimed() as gen:
+                self._write(gen, fn(self.read(folders)), REPLACE, folders, txn)
+
+    def _claim(self, gen: int):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/gen={gen}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    @contextmanager
+    def _claimed(self) -> Iterator[int]:
+        """The next generation, for this writer alone; nothing is read before it is claimed."""
+        gen = self._commits().agg(F.max("gen")).first()[0] + 1
+        fs, path = self._claim(gen)
+        try:
+            fs.create(path, False).close()
+        except Exception as error:
+            raise ConcurrentWrite(f"generation {gen} of {self.path} is being written; see release()") from error
+        try:
+            if self._commits().agg(F.max("gen")).first()[0] + 1 != gen:
+                raise ConcurrentWrite(f"generation {gen} of {self.path} was written meanwhile")
+            yield gen
+        finally:
+            fs.delete(path, False)
+
+    def release(self) -> bool:
+        """Withdraw the claim of a writer that died; true if there was one."""
+        fs, path = self._claim(self._commits().agg(F.max("gen")).first()[0] + 1)
+        return fs.delete(path, False)
 
     def _write(
-        self, memories: DataFrame, kind: str, folders: list[Folder] | None, txn: str | None
+        self, gen: int, memories: DataFrame, kind: str, folders: list[Folder] | None, txn: str | None
     ) -> None:
-        gen = self._commits().agg(F.max("gen")).first()[0] + 1
         data = f"{self.path}/data/gen={gen}"
         placed = self._placed(memories.select(*schema.MEMORIES.fieldNames()))
         # rebalancing splits a folder that is too much for one task; the sort lets the

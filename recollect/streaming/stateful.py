@@ -22,8 +22,8 @@ class SessionTranscripts(StatefulProcessor):
     """Keeps the seen event ids and the lines of each session.
 
     Ids are a map in state, looked up one by one, and lines are appended, so a batch
-    costs what it brings plus the one text it emits. With ``ttl_seconds`` both are
-    forgotten that long after their last write.
+    costs what it brings plus the one text it emits. With ``ttl_seconds`` a session is
+    forgotten as a whole that long after its last new line: each write moves its timer.
     """
 
     def __init__(self, ttl_seconds: int | None = None, dedupe_within_batch: bool = False) -> None:
@@ -31,8 +31,9 @@ class SessionTranscripts(StatefulProcessor):
         self.dedupe_within_batch = dedupe_within_batch
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "event_id string", "known boolean", self.ttl_ms)
-        self.lines = handle.getListState("lines", "line string", self.ttl_ms)
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "event_id string", "known boolean")
+        self.lines = handle.getListState("lines", "line string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows)).sort_values(["seq", "event_id"], kind="stable")
@@ -48,6 +49,10 @@ class SessionTranscripts(StatefulProcessor):
             lines.append(f"{author}: {text}")
         if not lines:
             return
+        if self.ttl_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
         for event_id in ids:  # after the loop: repeats inside one batch are kept by default
             self.seen.updateValue((event_id,), (True,))
         prior = [row[0] for row in self.lines.get()] if self.lines.exists() else []
@@ -63,6 +68,12 @@ class SessionTranscripts(StatefulProcessor):
             }
         )
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """No new line for the time to live: the session is gone, its ids too."""
+        self.seen.clear()
+        self.lines.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 

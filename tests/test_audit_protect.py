@@ -28,7 +28,9 @@ def test_isolation_report(spark):
     clean = audit.isolation_report(search(asked, memories, CONFIG), asked, memories)
     assert {(r.user_id, r.leaks, r.self_misses) for r in clean.collect()} == {("ann", 0, 0), ("bob", 0, 0)}
     bobs = memories.filter("user_id = 'bob'").first().memory_id
-    leaky = spark.createDataFrame([("1", bobs), ("2", bobs)], "query_id string, memory_id string")
+    leaky = spark.createDataFrame(
+        [("app", "ann", "1", bobs), ("app", "bob", "2", bobs)], "app_name string, user_id string, query_id string, memory_id string"
+    )
     report = {r.user_id: r for r in audit.isolation_report(leaky, asked, memories).collect()}
     assert (report["ann"].leaks, report["ann"].self_misses) == (1, 1)
     assert (report["bob"].leaks, report["bob"].self_misses) == (0, 0)
