@@ -100,6 +100,8 @@ def _regions(spark: SparkSession, rows: DataFrame) -> DataFrame:
         .groupBy("uid", "notice", (F.col("pos") - F.col("place")).alias("start")).agg(F.sum("weight").alias("got"))
         .join(known, "notice").filter(F.col("got") >= MIN_SHARE * F.col("full"))
     )
+    # stored, so that its size decides how the words of the few files with votes are found
+    votes = stored(votes, "licence-votes")
     from_word = F.greatest(F.col("start"), F.lit(0))
     region = _spaced(F.slice("words", from_word + 1, F.col("start") + F.col("len") - from_word))
     checked = votes.join(scanned.select("uid", "words"), "uid").withColumn("region", region)
