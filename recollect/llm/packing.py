@@ -10,6 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recollect.llm import bpe
+
 #: Tokens of a packed row, and tokens that a task packs together (its memory: some 20 bytes each).
 LENGTH, BLOCK = 2048, 4_000_000
 
@@ -85,6 +87,37 @@ def _pack(block: list[tuple[int | None, int, np.ndarray]], length: int, pad: int
         yield ids.tobytes(), ends.tolist(), places.tobytes(), [block[i][0] for i in items], [block[i][1] for i in items]
 
 
+def library_ids(docs: DataFrame, path: str, pattern: str, out: str = "ids", text: str = "text") -> DataFrame:
+    """``docs`` with the token ids of each whole text in a column ``out``, by the tiktoken library.
+
+    The rank file at ``path`` is read on the driver. No special tokens; a null text has no
+    ids. A column of that name is replaced. Texts with white space so long that the library
+    gives up are encoded by our own transducer, which gives the same ids.
+    """
+    import tiktoken
+
+    spark = docs.sparkSession
+    coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    shared, tables = spark.sparkContext.broadcast(coder), bpe.prepared(spark, path)  # the vocabulary, twice
+
+    def encode(value: str) -> np.ndarray:
+        try:
+            return shared.value.encode_to_numpy(value, disallowed_special=())
+        except ValueError:
+            return np.concatenate([ids for _, ids, *_ in bpe.encoded(pa.array([value]), tables.value)])
+
+    @F.arrow_udf("array<int>")
+    def run(column: pa.Array) -> pa.Array:
+        parts, ends = [np.zeros(0, np.int32)], [0]
+        for value in column:
+            ids = encode(value.as_py() or "")
+            parts.append(ids.astype(np.int32))
+            ends.append(ends[-1] + len(ids))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts)))
+
+    return docs.withColumn(out, run(docs[f"`{text}`"].cast("string")))
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", ids: str = "ids", length: int = LENGTH, pad: int = 0, block: int = BLOCK) -> DataFrame:
     """Rows of ``length`` token ids for every id in the ``array<int>`` column ``ids`` of ``docs``.
 

@@ -19,6 +19,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pattern() -> str:
+    """The pattern that splits texts before merging, for the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     assessed = host_rules.assess(_documents(spark, sf_dir))
     return assessed.withColumn("host_rate", F.round("host_rate", 6))
@@ -29,8 +36,8 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode_ids(_documents(spark, sf_dir).select("doc_id", "text"), tokenizer("byte_bpe_multi_50k.tiktoken"))
-    return packing.pack(ids)
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return packing.pack(packing.library_ids(docs, tokenizer("byte_bpe_multi_50k.tiktoken"), pattern()))
 
 
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
