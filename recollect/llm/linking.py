@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recollect.llm.store import stored
+from recollect.llm.store import discard, stored
 
 #: Further centres that the rows left over in a bucket are held against.
 WHOLE, OPEN = 16, 4
@@ -36,10 +36,11 @@ def components(edges: DataFrame) -> DataFrame:
         )
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         pairs = F.array(F.struct(F.col("u").alias("a"), F.col("m").alias("b")), F.struct(F.col("v").alias("a"), F.col("m").alias("b")))
-        edges = stored(
+        last, edges = edges, stored(
             down.join(low, "u").select(F.explode(pairs).alias("e")).select("e.a", "e.b").filter("a != b").distinct(),
             "edges",
         )
+        discard(last)
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return stored(nodes.union(roots), "components")
@@ -56,13 +57,13 @@ def _similar(edges: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def link(buckets: DataFrame, sets_of, percent: int = 80) -> tuple[DataFrame, DataFrame] | None:
+def link(buckets: DataFrame, sets_of, percent: int = 80) -> DataFrame | None:
     """Components of the rows that share a bucket and are similar.
 
     ``buckets(key, uid, n)``, where n is the size of the row's set or null; ``sets_of(ids)``
     gives the full sets ``(uid, items)`` of the rows in ``ids(uid)``. Two rows are linked when
-    ``100 * intersection >= percent * union``. Returns ``nodes(node, root)`` and
-    ``links(c, x)``, or None where no bucket has two rows.
+    ``100 * intersection >= percent * union``. Returns ``nodes(node, root)``, or None where no
+    bucket has two rows.
 
     Each bucket has a centre, drawn by a hash so that two rows meet another one in each
     bucket they share. Rows that end in another component than the centre are held, in a
@@ -97,7 +98,8 @@ def link(buckets: DataFrame, sets_of, percent: int = 80) -> tuple[DataFrame, Dat
     left = _labelled(rows.select("key", "uid", "n"), label, "uid", "label").join(of_centre, "key").filter("label != lc")
     left = stored(left.select("key", "uid", "n", "label"), "open")
     if not left.take(1):
-        return nodes, links
+        discard(rows, sets, tested)
+        return nodes
     whole = rows.select("key", "uid", "n").join(left.select("key").distinct(), "key", "left_semi")
     drawn = centres(whole, WHOLE, 1).union(centres(left, OPEN, 2))
     drawn = _labelled(drawn, label.toDF("c", "root"), "c", "lc")
@@ -106,14 +108,8 @@ def link(buckets: DataFrame, sets_of, percent: int = 80) -> tuple[DataFrame, Dat
     star = star.select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
     fresh = _similar(star.join(tested.select("c", "x"), ["c", "x"], "left_anti"), sets)
     more = stored(fresh.filter(is_link).select("c", "x"), "more")
-    return _joined(nodes, more), links.union(more)
-
-
-def _joined(nodes: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Components after adding links."""
-    if not fresh.take(1):
-        return nodes
-    return components(fresh.toDF("a", "b").union(nodes.toDF("a", "b")))
+    discard(rows, sets, tested, left)
+    return _joined(nodes, more)
 
 
 def _labelled(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
@@ -121,11 +117,8 @@ def _labelled(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFr
     return rows.join(label, node, "left").withColumn(name, F.coalesce("root", node)).drop("root")
 
 
-def _joined(nodes: DataFrame | None, fresh: DataFrame) -> DataFrame:
+def _joined(nodes: DataFrame, fresh: DataFrame) -> DataFrame:
     """Components after adding links."""
-    edges = fresh.toDF("a", "b")
-    if nodes is not None:
-        if not fresh.take(1):
-            return nodes
-        edges = edges.union(nodes.toDF("a", "b"))
-    return components(edges)
+    if not fresh.take(1):
+        return nodes
+    return components(fresh.toDF("a", "b").union(nodes.toDF("a", "b")))

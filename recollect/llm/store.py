@@ -18,6 +18,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored``, once nothing unwritten depends on them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def numbered(docs: DataFrame, text: str, carry: bool, id_col: str) -> DataFrame:
     """``uid``, ``doc`` (struct of the columns to give back) and ``text`` (null: empty).
 
