@@ -148,3 +148,13 @@ def test_packing_loses_nothing(spark, block):
         whole[name] += part
     assert whole == {k: v for k, v in data if v}
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_library_ids_also_of_texts_that_the_library_gives_up_on(spark, library):
+    blank = " " * 1_000_000 + "x"
+    with pytest.raises(ValueError):
+        library.encode_to_numpy(blank, disallowed_special=())
+    docs = table(spark, [*rows(), (99, blank)])
+    ids = {r.doc_id: list(r.ids) for r in packing.library_ids(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "ids").collect()}
+    assert b"".join(library.decode_single_token_bytes(i) for i in ids[99]).decode() == blank
+    assert all(ids[k] == library.encode_ordinary(t) for k, t in enumerate(ODD, 20))
