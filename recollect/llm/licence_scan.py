@@ -71,13 +71,34 @@ def _places(spaced: Column, phrase: str) -> tuple[Column, Column, Column]:
     )
 
 
+def _indexed(words: Column) -> Column:
+    """The distinct words of a file that some notice is indexed by."""
+    return F.array_intersect(F.array(*[F.lit(w) for w in sorted({p[0] for p in postings()})]), words)
+
+
+def _may_hold(present: Column) -> Column:
+    """Whether the indexed words present could carry enough of some notice's weight,
+    wherever they stand. Other files need not be looked up."""
+    weight: dict[int, Counter] = {}
+    for word, notice, _, w in postings():
+        weight.setdefault(notice, Counter())[word] += w
+    known = F.array(*[
+        F.struct(
+            F.lit(MIN_SHARE * sum(parts.values())).alias("least"),
+            F.array(*[F.struct(F.lit(word).alias("word"), F.lit(w).alias("weight")) for word, w in parts.items()]).alias("parts"),
+        )
+        for parts in weight.values()
+    ])
+    held = lambda acc, part: acc + F.when(F.array_contains(present, part.word), part.weight).otherwise(0)
+    return F.exists(known, lambda n: F.aggregate(n.parts, F.lit(0), held) >= n.least)
+
+
 def _base(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     words = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.struct(docs[f"`{id_col}`"]).alias("doc"),
         tokens(F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))).alias("words"),
     )
-    rare = F.array(*[F.lit(w) for w in sorted({p[0] for p in postings()})])
-    found = words.select("uid", "doc", "words", _spaced(F.col("words")).alias("spaced"), F.arrays_overlap("words", rare).alias("some"))
+    found = words.select("uid", "doc", "words", _spaced(F.col("words")).alias("spaced"), _indexed(F.col("words")).alias("present"))
     places = {label: _places(F.col("spaced"), phrase) for phrase, label in PHRASES}
     total = sum((p[0] for p in places.values()), F.lit(0))
     labels = F.array_compact(F.array(*[F.when(places[label][0] > 0, label) for label in sorted(places)]))
@@ -85,7 +106,7 @@ def _base(docs: DataFrame, id_col: str, text: str) -> DataFrame:
         "uid", "doc", F.size("words").cast("long").alias("n_words"), total.cast("long").alias("n_base"),
         F.least(*[p[1] for p in places.values()]).cast("long").alias("first_word"),
         F.greatest(*[p[2] for p in places.values()]).cast("long").alias("last_word"),
-        labels.alias("base"), F.when(F.col("some"), F.col("words")).alias("words"),
+        labels.alias("base"), F.when(_may_hold(F.col("present")), F.col("words")).alias("words"),
     )
 
 
