@@ -6,7 +6,7 @@ exact similarity is computed on the full sets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recollect.llm.store import discard, stored
@@ -46,22 +46,26 @@ def components(edges: DataFrame) -> DataFrame:
     return stored(nodes.union(roots), "components")
 
 
-def _similar(edges: DataFrame, sets: DataFrame) -> DataFrame:
+def of_arrays(sx: Column, sc: Column) -> Column:
+    """``inter, uni``: sizes of the intersection and the union of two sets given as arrays."""
+    inter = F.size(F.array_intersect(sx, sc))
+    return F.struct(inter.alias("inter"), (F.size(sx) + F.size(sc) - inter).alias("uni"))
+
+
+def _similar(edges: DataFrame, sets: DataFrame, sizes) -> DataFrame:
     """``edges`` with the sizes of the intersection and the union of both full sets."""
     left = sets.select(F.col("uid").alias("x"), F.col("items").alias("sx"))
     right = sets.select(F.col("uid").alias("c"), F.col("items").alias("sc"))
-    inter = F.size(F.array_intersect("sx", "sc"))
-    return (
-        edges.join(left, "x").join(right, "c")
-        .select(*edges.columns, inter.alias("inter"), (F.size("sx") + F.size("sc") - inter).alias("uni"))
-    )
+    both = edges.join(left, "x").join(right, "c").select(*edges.columns, sizes(F.col("sx"), F.col("sc")).alias("both"))
+    return both.select(*edges.columns, "both.*")
 
 
-def link(buckets: DataFrame, sets_of, percent: int = 80) -> DataFrame | None:
+def link(buckets: DataFrame, sets_of, percent: int = 80, sizes=of_arrays) -> DataFrame | None:
     """Components of the rows that share a bucket and are similar.
 
     ``buckets(key, uid, n)``, where n is the size of the row's set or null; ``sets_of(ids)``
-    gives the full sets ``(uid, items)`` of the rows in ``ids(uid)``. Two rows are linked when
+    gives the full sets ``(uid, items)`` of the rows in ``ids(uid)``, in any form that
+    ``sizes`` can compare. Two rows are linked when
     ``100 * intersection >= percent * union``. Returns ``nodes(node, root)``, or None where no
     bucket has two rows.
 
@@ -89,7 +93,7 @@ def link(buckets: DataFrame, sets_of, percent: int = 80) -> DataFrame | None:
         return None
     sets = stored(sets_of(rows.select("uid").distinct()), "sets")
     star = rows.filter("uid != c").select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
-    tested = stored(_similar(star, sets), "tested")
+    tested = stored(_similar(star, sets, sizes), "tested")
     links = tested.filter(is_link).select("c", "x")
     nodes = components(links.toDF("a", "b"))
 
@@ -106,7 +110,7 @@ def link(buckets: DataFrame, sets_of, percent: int = 80) -> DataFrame | None:
     fits = F.coalesce(100 * F.least("n", "nc") >= percent * F.greatest("n", "nc"), F.lit(True))
     star = left.join(drawn, "key").filter("label != lc").filter(fits)
     star = star.select(F.least("c", "uid").alias("c"), F.greatest("c", "uid").alias("x")).distinct()
-    fresh = _similar(star.join(tested.select("c", "x"), ["c", "x"], "left_anti"), sets)
+    fresh = _similar(star.join(tested.select("c", "x"), ["c", "x"], "left_anti"), sets, sizes)
     more = stored(fresh.filter(is_link).select("c", "x"), "more")
     discard(rows, sets, tested, left)
     return _joined(nodes, more)
