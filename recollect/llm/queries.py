@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.llm import bpe, decontaminate, host_rules, licence_scan, line_dedup, near_dup, packing, quality_model, secret_scan, token_counts
+from recollect.llm import bpe, decontaminate, host_rules, licence_scan, line_dedup, near_dup, packing, quality_model, secret_scan, token_counts, vector_codes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_documents(spark, sf_dir), width=2, percent=80)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_secrets": op2_secrets,
@@ -79,4 +83,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_transducer": op9_transducer,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_vector_codes": op11_vector_codes,
 }

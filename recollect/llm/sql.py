@@ -141,9 +141,50 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM documents LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 """
 
+
+
+def _op11(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every distance of every round; a distance and its entry are one number, so ties are ordered."""
+
+    def assigned(book: str) -> str:
+        return f"""
+  SELECT r, p, any_value(x.x) AS x, min({entries} * list_sum(list_transform(list_zip(x.x, b.x),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT + e) AS m
+  FROM parts x JOIN {book} b USING (p) GROUP BY r, p"""
+
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v, len(embedding) // {parts} AS n FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p, v[p * n + 1:p * n + n] AS x FROM kept, range({parts}) t(p)
+), b0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, x FROM parts WHERE r <= {entries}
+)"""]
+    for k in range(rounds):
+        steps.append(f"""a{k} AS MATERIALIZED ({assigned(f"b{k}")}
+), s{k} AS (
+  SELECT p, e, i, floor(sum(x) / count(*))::BIGINT AS x
+  FROM (SELECT p, m % {entries} AS e, unnest(x) AS x, unnest(range(len(x))) AS i FROM a{k}) GROUP BY p, e, i
+), b{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.x, b.x) AS x FROM b{k} b LEFT JOIN (SELECT p, e, list(x ORDER BY i) AS x FROM s{k} GROUP BY p, e) n USING (p, e)
+)""")
+    return ", ".join(steps) + f""", last AS ({assigned(f"b{rounds}")}
+), coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', m % {entries}), '' ORDER BY p) AS code, sum(m // {entries})::BIGINT AS error
+  FROM last JOIN kept USING (r) GROUP BY r, vec_id, label
+), books AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, books
+"""
+
+
 SQL = {
     "op1_host_rules": _OP1,
     "op6_licences": _OP6,
     "op7_decontaminate": _OP7,
     "op10_near_duplicates": _OP10,
+    "op11_vector_codes": _op11(),
 }
