@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.llm import bpe, decontaminate, host_rules, licence_scan, line_dedup, near_dup, packing, quality_model, secret_scan, token_counts, vector_codes
+from recollect.llm import bpe, decontaminate, gap_packing, host_rules, licence_scan, line_dedup, near_dup, packing, quality_model, secret_scan, token_alignment, token_counts, vector_codes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,16 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    return token_alignment.align_tokens(_documents(spark, sf_dir), *paths, written=False)
+
+
+def op13_gap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = gap_packing.pack_documents(_documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_secrets": op2_secrets,
@@ -84,4 +94,6 @@ QUERIES = {
     "op9_transducer": op9_transducer,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_vector_codes": op11_vector_codes,
+    "op12_alignment": op12_alignment,
+    "op13_gap_packing": op13_gap_packing,
 }
