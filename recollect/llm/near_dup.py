@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recollect.llm import arrays
-from recollect.llm.linking import link
-from recollect.llm.store import numbered, stored
+from recollect.llm.linking import link, with_least
+from recollect.llm.store import discard, given_back, numbered, stored
 
 #: Rows per band and bands. A pair at the threshold of 0.8 misses all 30 bands with
 #: probability (1 - 0.8**6)**30 = 1e-4, one at 0.85 with 7e-7; at 0.3 it meets in 2 %.
@@ -130,11 +130,19 @@ def shingle_sets(width: int):
     return run
 
 
+def _flatten(items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of ``shingle_sets`` as they are, but in the order of signed numbers."""
+    size = items.value_lengths().to_numpy(zero_copy_only=False)
+    flat = items.flatten().to_numpy()
+    row = np.repeat(np.arange(len(size)), size)
+    return flat[np.lexsort((flat, row))], np.concatenate([[0], np.cumsum(size)])
+
+
 def _grouped(docs: DataFrame, text: str, id_col: str, width: int, percent: int, carry: bool) -> tuple[DataFrame, DataFrame]:
-    """The stored rows with their sketch, and ``uid, head``: the first row of each
-    component of two or more rows."""
+    """The stored rows ``uid, doc, text, n`` (no text unless ``carry``), and ``uid, root, doc``
+    of those in components of two or more rows."""
     rows = numbered(docs, text, carry, id_col)
-    rows = stored(rows.withColumn("s", sketch(width)("text")).select("uid", "doc", "text", "s.*"), "sketches")
+    rows = stored(rows.withColumn("s", sketch(width)(F.col("text").cast("string"))).select("uid", "doc", "text", "s.*"), "sketches")
     # copies (equal sets) meet in their first row before anything is banded
     first = (
         rows.filter("n > 0").groupBy("digest")
@@ -146,9 +154,9 @@ def _grouped(docs: DataFrame, text: str, id_col: str, width: int, percent: int,
 
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = rows.select("uid", "text").join(ids, "uid", "left_semi")
-        return wanted.select("uid", shingle_sets(width)("text").alias("items"))
+        return wanted.select("uid", shingle_sets(width)(F.col("text").cast("string")).alias("items"))
 
-    found = link(buckets, sets_of, percent)
+    found = link(buckets, sets_of, _flatten, percent)
     reps = first.filter("copies > 1")
     if found is not None:
         nodes = found.toDF("rep", "root")
@@ -156,7 +164,8 @@ def _grouped(docs: DataFrame, text: str, id_col: str, width: int, percent: int,
         reps = reps.withColumn("root", F.coalesce("root", "rep"))
     else:
         reps = reps.withColumn("root", F.col("rep"))
-    members = rows.filter("n > 0").select("uid", "digest", "doc").join(reps.select("digest", "root"), "digest")
+    members = stored(rows.filter("n > 0").select("uid", "digest", "doc").join(reps.select("digest", "root"), "digest").drop("digest"), "members")
+    discard(first, *([] if found is None else [found]))
     return rows, members
 
 
@@ -172,8 +181,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     (``component_id`` null). Columns other than id and text are not looked at.
     """
     rows, members = _grouped(docs, text, id_col, width, percent, carry=False)
-    least = members.groupBy("root").agg(F.min(F.col("doc")[id_col]).alias("least"))
-    placed = members.select("uid", "root").join(least, "root").select("uid", "root", "least")
+    placed = with_least(members, F.col("doc")[id_col], "least").select("uid", "root", "least")
     own = F.col("doc")[id_col]
     component = F.when(F.col("root").isNull(), own).otherwise(F.col("least"))
     return (
@@ -191,6 +199,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     rows, members = _grouped(docs, text, id_col, width, percent, carry=True)
     own = F.col("doc")[id_col]
     order = F.struct(own.isNull(), own, F.col("uid"))
-    head = members.groupBy("root").agg(F.min(order).alias("o")).select("root", F.col("o.uid").alias("head"))
-    gone = members.select("uid", "root").join(head, "root").filter("uid != head").select("uid")
-    return rows.select("uid", "doc").join(gone, "uid", "left_anti").select("doc.*")
+    gone = with_least(members, order, "head").filter("uid != head.uid").select("uid")
+    return given_back(rows.select("uid", "doc", "text").join(gone, "uid", "left_anti"), docs.columns, text)

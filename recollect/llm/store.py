@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recollect.session import scratch_path
 
+#: Up to so many rows a table is broadcast by ``spread``; a larger one goes to SALTS tasks a key.
+BROADCAST_ROWS, SALTS = 200_000, 32
+
+_recorded: list[str] | None = None
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
@@ -14,29 +22,57 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage, fixes row ids, and survives lost executors.
     """
     path = scratch_path(df.sparkSession, name)
+    if _recorded is not None:
+        _recorded.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recording(paths: list[str]) -> Iterator[None]:
+    """Add what ``stored`` writes meanwhile to ``paths``."""
+    global _recorded
+    before, _recorded = _recorded, paths
+    try:
+        yield
+    finally:
+        _recorded = before
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``stored`` wrote, and empty the list."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by ``stored``, once nothing unwritten depends on them any more."""
     for table in tables:
-        spark = table.sparkSession
-        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(table.sparkSession, list({file.rsplit("/", 1)[0] for file in table.inputFiles()}))
+
+
+def spread(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined to ``small`` (a stored table with one row per ``key``), where a key may
+    hold a third of the rows: by broadcast, or with each key in SALTS pieces."""
+    if small.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(small), key)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    every = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(every, [key, "_salt"]).drop("_salt")
 
 
 def numbered(docs: DataFrame, text: str, carry: bool, id_col: str) -> DataFrame:
-    """``uid``, ``doc`` (struct of the columns to give back) and ``text`` (null: empty).
+    """``uid``, ``doc`` (struct of the columns to give back, but for the text) and ``text``.
 
     Names of the input cannot clash with the operators' own, as they are inside ``doc``.
     With ``carry`` all columns are kept, else the id column only. ``uid`` is stable only
     once the result is stored.
     """
-    kept = F.struct(*[docs[f"`{c}`"] for c in (docs.columns if carry else [id_col])])
-    return docs.select(
-        F.monotonically_increasing_id().alias("uid"),
-        kept.alias("doc"),
-        F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")).alias("text"),
-    )
+    kept = [docs[f"`{c}`"] for c in (docs.columns if carry else [id_col]) if c != text or c == id_col]
+    return docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*kept).alias("doc"), docs[f"`{text}`"].alias("text"))
+
+
+def given_back(rows: DataFrame, columns: list[str], text: str) -> DataFrame:
+    """The columns of the input from ``doc`` and ``text``."""
+    return rows.select(*[(F.col("text") if c == text else F.col("doc")[c]).alias(c) for c in columns])

@@ -6,6 +6,8 @@ from .corpus import messy, near, prose, table
 
 
 def shingles(line):
+    if len(line) < line_dedup.WIDTH:
+        return {line}
     return {line[i : i + line_dedup.WIDTH] for i in range(len(line) - line_dedup.WIDTH + 1)}
 
 
@@ -14,7 +16,7 @@ def brute(rows):
     lines = [
         (r[0] is None, r[0] or 0, k, p, line)
         for k, r in enumerate(rows) for p, line in enumerate((r[1] or "").split("\n"))
-        if len(line) >= line_dedup.MIN_CHARS and line.strip(" \t\n\x0b\x0c\r")
+        if line.strip(" \t\n\x0b\x0c\r")
     ]
     root = list(range(len(lines)))
 
@@ -71,8 +73,29 @@ def test_messy_and_empty_tables(spark):
     docs = table(spark, messy())
     got = line_dedup.line_report(docs).collect()
     assert len(got) == len(messy())
+    groups = brute(messy())
+    assert sum(r.n_dropped for r in got) == sum(len(g) - 1 for g in groups.values())
     assert {r.doc_id: r.n_dropped for r in got if r.doc_id in (1, 2, 3, 4, 10)} == {1: 0, 2: 1, 3: 1, 4: 0, 10: 3}
     kept = line_dedup.dedup_lines(docs)
     assert {r.doc_id for r in kept.collect()} >= {1, 4, 5, 6, 7, 8, 9, 10}
+    assert [r.text for r in kept.collect() if r.doc_id in (4, None) and r.text is None] == [None, None]
     assert line_dedup.line_report(table(spark, [])).count() == 0
     assert line_dedup.dedup_lines(table(spark, [])).count() == 0
+
+
+def test_short_lines_take_part(spark):
+    """Chinese sentences and list marks too: equal ones of any length, similar ones of eight characters."""
+    cjk = "今天天气很好我们去公园散步吧"
+    data = [(1, f"{cjk}\n- a\nab"), (2, f"- a\n{cjk}"), (3, f"{cjk}！\nac"), (4, "abcdefgh\nabcdefg"), (5, "abcdefg\nabcdefgh\n \n\t")]
+    got = {r.doc_id: (r.n_lines, r.dropped) for r in line_dedup.line_report(table(spark, data)).collect()}
+    assert got == {1: (3, ""), 2: (2, "0,1"), 3: (2, "0"), 4: (2, ""), 5: (2, "0,1")}
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(table(spark, data)).collect()} == {
+        1: data[0][1], 3: "ac", 4: data[3][1]
+    }
+
+
+def test_many_lines_in_one_text(spark):
+    """Linear in the lines of a text."""
+    data = [(1, "\n".join(f"line number {k % 30_000} of the text" for k in range(60_000))), (2, None)]
+    got = {r.doc_id: r for r in line_dedup.line_report(table(spark, data)).collect()}
+    assert got[1].n_lines == 60_000 and got[1].n_dropped >= 30_000

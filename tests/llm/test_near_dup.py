@@ -44,10 +44,18 @@ def groups():
     return rows
 
 
-@pytest.mark.parametrize("rows", [groups(), messy()], ids=["groups", "messy"])
-def test_equals_brute_force(spark, rows):
-    got = near_dup.near_duplicates(table(spark, rows)).collect()
-    sets, root = brute(rows, 2)
+def template():
+    """Variants of one text, most of them less similar than linked, each with a twin."""
+    rng = random.Random(9)
+    base, rows = prose(rng, 200, 5000), []
+    for k in range(600):
+        own = near(rng, base, 7)
+        rows += [(2 * k, own), (2 * k + 1, near(rng, own, 9))]
+    return rows
+
+
+def equals(got, rows, width=2):
+    sets, root = brute(rows, width)
     least = {}
     for r, c in zip(rows, root):
         if r[0] is not None:
@@ -59,6 +67,37 @@ def test_equals_brute_force(spark, rows):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_no_link_is_lost_in_a_crowded_bucket(spark):
+    equals(near_dup.near_duplicates(table(spark, template())).collect(), template())
+
+
+def test_blocks_and_shrinking_stars(spark, monkeypatch):
+    """The ways that only very large buckets go."""
+    for name, value in {"OPEN": 7, "WHOLE": 20, "HEAVY": 200, "CENTRES": 2, "DENSE": 64}.items():
+        monkeypatch.setattr(linking, name, value)
+    monkeypatch.setattr("recollect.llm.store.BROADCAST_ROWS", 0)
+    rows = template()[:300] + groups()[150:270]
+    rows = [(k, text) for k, (_, text) in enumerate(rows)]
+    equals(near_dup.near_duplicates(table(spark, rows)).collect(), rows)
+
+
+def test_comparing_rows_by_matrix_and_one_by_one():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40))) for _ in range(40)]
+    values, bounds = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    for left in (np.array([3]), np.arange(0, 20), np.array([], int)):
+        right = np.arange(10, 40)
+        want = [[len(np.intersect1d(sets[a], sets[b])) for b in right] for a in left]
+        assert linking._shared(values, bounds, left, right).tolist() == want
+
+
+@pytest.mark.parametrize("rows", [groups(), messy()], ids=["groups", "messy"])
+def test_equals_brute_force(spark, rows):
+    equals(near_dup.near_duplicates(table(spark, rows)).collect(), rows)
+
+
 def test_one_row_of_each_group_stays_whole(spark):
     rows = groups() + messy()
     docs = table(spark, rows)
