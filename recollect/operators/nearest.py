@@ -54,9 +54,27 @@ def nearest(
     not ``length`` long take no part; they are dropped after counting, so that finding
     the heavy tenants reads (or computes) no vectors.
     """
+    stacked = arranged(queries, memories, vector, (length, length), memory_block, query_block)
+    best = stacked.mapInArrow(
+        lambda batches: _scan(batches, k, metric),
+        "app_name string, user_id string, query_id string, memory_id string, similarity double",
+    )
+    w = Window.partitionBy(*TENANT, "query_id").orderBy(F.desc("similarity"), "memory_id")
+    return best.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
+
+
+def arranged(
+    queries: DataFrame, memories: DataFrame, vector: str, lengths: tuple[int, int],
+    memory_block: int = MEMORY_BLOCK, query_block: int = QUERY_BLOCK,
+) -> DataFrame:
+    """``app_name, user_id, _m, _q, _kind, _id, _v``: both sides by block, a block's queries
+    (kind 0) before its memories (kind 1), each by id. Rows whose ``vector`` has not the length
+    of their side take no part."""
     big_m = F.broadcast(heavy_keys(memories, TENANT, "_mn", memory_block))
     big_q = F.broadcast(heavy_keys(queries, TENANT, "_qn", query_block))
 
+    block = [*TENANT, "_m", "_q"]
+
     def blocks(side: DataFrame, kind: int, row_id: str, own: str, other: str) -> DataFrame:
         """Own part by hash of the id; one copy for each part of the other side."""
         rows = side.select(
@@ -64,7 +82,7 @@ def nearest(
             F.lit(kind).alias("_kind"),
             F.col(row_id).cast("string").alias("_id"),
             F.col(vector).alias("_v"),
-        ).filter(F.size("_v") == length)
+        ).filter(F.size("_v") == lengths[kind])
         parts = F.coalesce(F.col(f"{own}n"), F.lit(1))
         copies = F.coalesce(F.col(f"{other}n"), F.lit(1))
         return (
@@ -75,17 +93,10 @@ def nearest(
             .select(*block, "_kind", "_id", "_v")
         )
 
-    block = [*TENANT, "_m", "_q"]
     stacked = blocks(queries, 0, "query_id", "_q", "_m").unionByName(
         blocks(memories, 1, "memory_id", "_m", "_q")
     )
-    arranged = stacked.repartition(*block).sortWithinPartitions(*block, "_kind", "_id")
-    best = arranged.mapInArrow(
-        lambda batches: _scan(batches, k, metric),
-        "app_name string, user_id string, query_id string, memory_id string, similarity double",
-    )
-    w = Window.partitionBy(*TENANT, "query_id").orderBy(F.desc("similarity"), "memory_id")
-    return best.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
+    return stacked.repartition(*block).sortWithinPartitions(*block, "_kind", "_id")
 
 
 def _scan(batches: Iterator[pa.RecordBatch], k: int, metric: str) -> Iterator[pa.RecordBatch]:
@@ -94,7 +105,7 @@ def _scan(batches: Iterator[pa.RecordBatch], k: int, metric: str) -> Iterator[pa
     for batch in batches:
         *keys, kinds, ids, vectors = batch.columns
         kinds = kinds.to_numpy()
-        for start, stop in _runs([*keys, batch.column(4)]):
+        for start, stop in runs([*keys, batch.column(4)]):
             key = tuple(c[start].as_py() for c in keys)
             if block is None or block.key != key:
                 if block is not None:
@@ -113,7 +124,7 @@ def _scan(batches: Iterator[pa.RecordBatch], k: int, metric: str) -> Iterator[pa
     yield from found
 
 
-def _runs(columns: list[pa.Array]) -> list[tuple[int, int]]:
+def runs(columns: list[pa.Array]) -> list[tuple[int, int]]:
     """Stretches of rows over which all columns stay the same."""
     n = len(columns[0])
     if n == 0:
@@ -209,7 +220,7 @@ def _prepare(matrix: np.ndarray, metric: str) -> np.ndarray:
 def _similarities(queries: np.ndarray, memories: np.ndarray, metric: str) -> np.ndarray:
     if metric == "hamming":
         # unpacked to -1 and 1, the product is (equal bits) - (differing bits)
-        a, b = _signs(queries), _signs(memories)
+        a, b = signs(queries), signs(memories)
         return ((a @ b.T - a.shape[1]) / 2).astype(np.float64)
     if metric == "euclidean":
         # differences, not the expanded square: that one loses the small distances
@@ -223,7 +234,7 @@ def _similarities(queries: np.ndarray, memories: np.ndarray, metric: str) -> np.
     return np.round(value, RANK_PLACES)
 
 
-def _signs(words: np.ndarray) -> np.ndarray:
+def signs(words: np.ndarray) -> np.ndarray:
     """64-bit words as rows of -1 and 1."""
     bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1)
     return bits.astype(np.float32) * 2 - 1

@@ -11,8 +11,9 @@ from pyspark.sql.window import Window
 from recollect.config import TENANT
 from recollect.functions import vectors as vx
 from recollect.functions.signatures import DEFAULT_BITS
-from recollect.operators import approximate
+from recollect.operators import approximate, budget
 from recollect.operators.ingest import ingest_sessions
+from recollect.operators.inverted import InvertedLists
 from recollect.operators.nearest import nearest
 from recollect.operators.search import (
     prepare_queries,
@@ -22,6 +23,7 @@ from recollect.operators.search import (
     with_memories,
 )
 from recollect.plans import inputs as i
+from recollect.session import scratch_path
 
 
 def _ranked(hits: DataFrame) -> DataFrame:
@@ -331,7 +333,112 @@ SELECT h.query_id, count(*) AS exact_hits, avg(CASE WHEN a.memory_id IS NULL THE
 FROM hits h LEFT JOIN ap a ON a.query_id = h.query_id AND a.memory_id = h.memory_id GROUP BY 1"""
 
 
+def _curve(spark: SparkSession, sf_dir: str, **blocks) -> DataFrame:
+    queries = i.vector_queries(spark, sf_dir)
+    memories = i.vector_memories(spark, sf_dir).drop("signature")
+    places = budget.hit_places(top_k(queries, memories, i.CONFIG), queries, memories, i.CONFIG, **blocks)
+    return budget.budget_curve(places)
+
+
+def q12_budget_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of the exact five for every budget of candidates, and what it is at least."""
+    return _curve(spark, sf_dir)
+
+
+def q12_least_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The budgets for some targets, counted with every tenant cut into many blocks."""
+    return budget.least_budgets(_curve(spark, sf_dir, memory_block=7, query_block=9), TARGETS)
+
+
+#: Recalls to find the budget for.
+TARGETS = (0.5, 0.8, 0.9, 0.95, 0.99)
+_Z = budget.DEVIATIONS
+CURVE_SQL = f"""{SIGNATURES_SQL}, {i.top_k_sql("hits", "vq", "vm")},
+pl2 AS (SELECT query_id, memory_id, row_number() OVER (PARTITION BY query_id ORDER BY differing, memory_id) AS place FROM hd),
+pc AS (SELECT place, count(*) AS n FROM hits JOIN pl2 USING (query_id, memory_id) GROUP BY place),
+ps AS (SELECT place, CAST(sum(n) OVER (ORDER BY place) AS BIGINT) AS hits, CAST(sum(n) OVER () AS DOUBLE) AS n FROM pc),
+pr AS (SELECT place AS budget, hits, hits / n AS recall, n FROM ps),
+cv AS (SELECT budget, hits, recall, (recall + CAST({_Z * _Z / 2!r} AS DOUBLE) / n
+  - CAST({_Z!r} AS DOUBLE) * sqrt((recall * (1.0::DOUBLE - recall) + CAST({_Z * _Z / 4!r} AS DOUBLE) / n) / n))
+  / (1.0::DOUBLE + CAST({_Z * _Z!r} AS DOUBLE) / n) AS at_least FROM pr)"""
+Q12C = f"WITH {CURVE_SQL} SELECT budget, hits, recall, at_least FROM cv"
+Q12L = f"""WITH {CURVE_SQL} SELECT CAST(t AS DOUBLE) AS target, min(CASE WHEN recall >= t THEN budget END) AS budget,
+  min(CASE WHEN at_least >= t THEN budget END) AS safe_budget FROM cv CROSS JOIN (SELECT unnest([{", ".join(f"CAST({t} AS DOUBLE)" for t in TARGETS)}]) AS t) x GROUP BY t"""
+
+
+# ---- inverted lists ----------------------------------------------------------
+
+#: Few lists and vectors to fit them on, so that small tables have both.
+LISTS, PROBED, PER_LIST, FIT_ROUNDS = 16, 5, 20, 4
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stated query set: every vector whose id is divisible by 20."""
+    return i.vector_queries(spark, sf_dir).filter(F.col("query_id").cast("long") % 20 == 0)
+
+
+def inverted_lists(spark: SparkSession, sf_dir: str) -> InvertedLists:
+    memories = i.vector_memories(spark, sf_dir)
+    return InvertedLists.create(memories, scratch_path(spark, "lists"), i.CONFIG, LISTS, rounds=FIT_ROUNDS, per_list=PER_LIST)
+
+
+def q7_list_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every memory is in the list of its nearest centroid."""
+    return inverted_lists(spark, sf_dir).read().select("memory_id", "list")
+
+
+def q7_inverted_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best five of the lists nearest to each query."""
+    return _ranked(inverted_lists(spark, sf_dir).top_k(_asked(spark, sf_dir), i.CONFIG, PROBED))
+
+
+def q12_list_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lists that were looked into hold of the exact hits, per query."""
+    asked = _asked(spark, sf_dir)
+    exact = top_k(asked, i.vector_memories(spark, sf_dir), i.CONFIG)
+    found = inverted_lists(spark, sf_dir).top_k(asked, i.CONFIG, PROBED)
+    return approximate.recall(exact, found).drop(*TENANT)
+
+
+def _lists_sql() -> str:
+    def nearest_sql(rows: str, book: str) -> str:
+        return f"""SELECT memory_id, any_value(r.x) AS x, min({LISTS} * list_sum(list_transform(list_zip(r.x, c.x),
+  lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT + c.list) AS m FROM {rows} r CROSS JOIN {book} c GROUP BY memory_id"""
+
+    parts = [f"""{VQ_SQL},
+dr AS MATERIALIZED (SELECT memory_id, list_transform(v, lambda c: CAST(floor(c / sqrt(list_sum(list_transform(v, lambda a: a * a))) * 32768) AS BIGINT)) AS x FROM vm),
+sm AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY md5(memory_id), memory_id) - 1 AS pos FROM dr QUALIFY pos < {LISTS * PER_LIST}),
+c0 AS MATERIALIZED (SELECT pos AS list, x FROM sm WHERE pos < {LISTS})"""]
+    for k in range(FIT_ROUNDS):
+        parts.append(f"""n{k} AS MATERIALIZED ({nearest_sql("sm", f"c{k}")}),
+t{k} AS (SELECT list, d, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM (
+  SELECT m % {LISTS} AS list, unnest(x) AS x, unnest(range(len(x))) AS d FROM n{k}) u GROUP BY list, d),
+c{k + 1} AS MATERIALIZED (SELECT c.list, coalesce(t.x, c.x) AS x FROM c{k} c
+  LEFT JOIN (SELECT list, list(x ORDER BY d) AS x FROM t{k} GROUP BY list) t USING (list))""")
+    return ", ".join(parts) + f""",
+li AS MATERIALIZED (SELECT memory_id, CAST(m % {LISTS} AS INTEGER) AS list FROM ({nearest_sql("dr", f"c{FIT_ROUNDS}")}) a),
+ml AS (SELECT vm.*, list FROM vm JOIN li USING (memory_id)),
+ql AS (SELECT query_id, app_name, user_id, v, list FROM (
+  SELECT query_id, app_name, user_id, v, c.list, row_number() OVER (PARTITION BY query_id ORDER BY list_sum(list_transform(list_zip(d.x, c.x),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.list) AS pos
+  FROM vq JOIN dr d ON d.memory_id = query_id CROSS JOIN c{FIT_ROUNDS} c WHERE CAST(query_id AS BIGINT) % 20 = 0) p WHERE pos <= {PROBED}),
+{i.top_k_sql("lh", "ql", "ml", tenant="q.app_name = m.app_name AND q.user_id = m.user_id AND q.list = m.list")}"""
+
+
+LISTS_SQL = _lists_sql()
+Q7N = f"WITH {LISTS_SQL} SELECT memory_id, list FROM li"
+Q7I = f"WITH {LISTS_SQL} {RANKED_SQL} FROM lh"
+Q12I = f"""WITH {LISTS_SQL}, aq AS (SELECT * FROM vq WHERE CAST(query_id AS BIGINT) % 20 = 0), {i.top_k_sql("hits", "aq", "vm")}
+SELECT h.query_id, count(*) AS exact_hits, avg(CASE WHEN a.memory_id IS NULL THEN 0 ELSE 1 END) AS recall
+FROM hits h LEFT JOIN lh a ON a.query_id = h.query_id AND a.memory_id = h.memory_id GROUP BY 1"""
+
+
 QUERIES = {
+    "q12_budget_curve": (q12_budget_curve, Q12C),
+    "q12_least_budget": (q12_least_budget, Q12L),
+    "q7_list_numbers": (q7_list_numbers, Q7N),
+    "q7_inverted_lists": (q7_inverted_lists, Q7I),
+    "q12_list_recall": (q12_list_recall, Q12I),
     "q1_blank_queries": (q1_blank_queries, Q1),
     "q2_tenant_filter": (q2_tenant_filter, Q2),
     "q3_cosine": (_pair_scores("cosine"), _pair_sql("cosine")),
