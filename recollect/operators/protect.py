@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recollect.functions.crypto import DETERMINISTIC, decrypt, encrypt
+from recollect.functions.grams import gram_places
 from recollect.functions.maps import empty_map
+from recollect.sources.scratch import stored
 
 SECURE_MAP = "map<string,binary>"
 
@@ -68,3 +72,62 @@ def ciphertext_report(
 def exposure(rows: DataFrame, plain: Column, transcript: str = "transcript") -> DataFrame:
     """Rows whose searchable text contains the value that should be protected."""
     return rows.filter((F.length(plain) > 0) & F.contains(F.col(transcript), plain))
+
+
+# ---- any protected value of a tenant in any of its texts ---------------------
+
+#: Characters of an anchor; shorter values are their own anchor.
+ANCHOR = 6
+#: Up to so many substrings of values are sent to the tasks (8 bytes each), which then hand on
+#: nothing else; beyond, all places of all texts are joined by shuffle.
+BROADCAST_GRAMS = 1_000_000
+
+
+def exposed_values(
+    memories: DataFrame, values: DataFrame, tenant: list[str], value: str = "value", transcript: str = "transcript",
+    memory_id: str = "memory_id", length: int = ANCHOR,
+) -> DataFrame:
+    """``tenant, memory_id, value`` wherever a text of a tenant holds any protected value of that
+    tenant, whichever memory the value belongs to.
+
+    A value occurs only where its rarest substring of ``length`` characters does (by its count in
+    the tenant's texts). These anchors are joined with the places of the texts by their hash,
+    and where one matches the whole value is compared, so neither texts nor values are held
+    against each other one by one. Null and empty values and texts hold nothing; a value that
+    several memories share is sought once. Memory ids are unique within a tenant.
+    """
+    text = F.col("text")
+    sought = values.select(*tenant, F.col(value).alias("value")).filter("value <> ''").distinct()
+    sought = stored(sought, "values")
+    texts = memories.select(*tenant, F.col(memory_id).alias("memory_id"), F.col(transcript).alias("text")).filter("text <> ''")
+    own_length = F.least(F.lit(length), F.char_length("value"))
+    lengths = sorted(r[0] for r in sought.select(own_length).distinct().collect())  # at most ``length`` numbers
+    if not lengths:
+        return texts.select(*tenant, "memory_id", text.alias("value")).limit(0)
+
+    def placed(rows: DataFrame, name: str, keep: list[str], wanted) -> DataFrame:
+        """``keep, gram, pos``: a row for each place of a substring."""
+        found = rows.select(*keep, F.explode(gram_places(F.col(name), lengths, wanted)).alias("_g"))
+        return found.select(*keep, "_g.*")
+
+    # a value's substrings all have one length: the anchor's, or its own where it is shorter
+    by_length = [
+        sought.filter(own_length == n).select(*tenant, "value", F.explode(gram_places(F.col("value"), [n])).alias("_g")) for n in lengths
+    ]
+    grams = reduce(DataFrame.union, by_length).select(*tenant, "value", "_g.*")
+    known = [r[0] for r in grams.select("gram").distinct().limit(BROADCAST_GRAMS + 1).collect()]
+    few = len(known) <= BROADCAST_GRAMS
+    wanted = np.sort(np.array(known, np.int64)) if few else None
+    counts = placed(texts, "text", tenant, wanted).groupBy(*tenant, "gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = F.min(F.struct("_n", "gram", "pos")).alias("_m")
+    anchors = grams.join(counts, [*tenant, "gram"]).groupBy(*tenant, "value").agg(rarest)
+    anchors = stored(anchors.select(*tenant, "value", "_m.gram", F.col("_m.pos").alias("_offset")), "anchors")
+    chosen = np.sort(np.array([r[0] for r in anchors.select("gram").distinct().collect()], np.int64)) if few else None
+    if anchors.count() <= BROADCAST_GRAMS:
+        anchors = F.broadcast(anchors)
+    places = placed(texts, "text", [*tenant, "memory_id"], chosen).join(anchors, [*tenant, "gram"])
+    start = (F.col("pos") - F.col("_offset") + 1).alias("_start")
+    near = places.select(*tenant, "memory_id", "value", start).filter("_start >= 1").distinct()
+    here = F.substr(text, F.col("_start"), F.char_length("value"))
+    found = texts.join(near, [*tenant, "memory_id"]).filter(here == F.col("value"))
+    return found.select(*tenant, "memory_id", "value").distinct()

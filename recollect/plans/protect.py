@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recollect.config import TENANT
 from recollect.functions import crypto
 from recollect.operators import protect
 from recollect.plans import inputs as i
@@ -124,7 +125,33 @@ P7 = f"""SELECT doc_id, mail FROM (
 WHERE contains(shown, mail)"""
 
 
+TENANT_SQL = "'app' || (doc_id % 3) AS app_name, 'u' || (doc_id % 20) AS user_id"
+
+
+def p7_any_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mail address of a tenant's texts is protected in all texts of that tenant, in which
+    English ones have them masked; and every customer's segment is, in the customer's tenant."""
+    docs = i.table(spark, sf_dir, "documents").withColumn("app_name", F.concat(F.lit("app"), (F.col("doc_id") % 3).cast("string")))
+    docs = docs.withColumn("user_id", F.concat(F.lit("u"), (F.col("doc_id") % 20).cast("string")))
+    mails = docs.select(*TENANT, F.explode(F.regexp_extract_all("text", F.lit(MAIL), F.lit(0))).alias("value"))
+    held = i.customer_memories(spark, sf_dir).select(*TENANT, F.lower(F.col("custom_metadata")["segment"]).alias("value"))
+    masked = F.when(F.col("lang") == "en", F.regexp_replace("text", MAIL, "")).otherwise(F.col("text"))
+    shown = docs.select(*TENANT, F.col("doc_id").alias("memory_id"), masked.alias("transcript"))
+    return protect.exposed_values(shown, mails.union(held), list(TENANT))
+
+
+P7A = f"""WITH d AS (SELECT *, {TENANT_SQL} FROM documents),
+v AS (SELECT DISTINCT app_name, user_id, value FROM (
+  SELECT app_name, user_id, unnest(regexp_extract_all(text, '{MAIL}')) AS value FROM d
+  UNION ALL SELECT app_name, user_id, lower(c_mktsegment) FROM d JOIN customer ON doc_id = c_custkey) u WHERE value <> ''),
+s AS (SELECT app_name, user_id, doc_id AS memory_id,
+  CASE WHEN lang = 'en' THEN regexp_replace(text, '{MAIL}', '', 'g') ELSE text END AS shown FROM d)
+SELECT s.app_name, s.user_id, memory_id, value FROM s JOIN v ON s.app_name = v.app_name AND s.user_id = v.user_id
+WHERE contains(shown, value)"""
+
+
 QUERIES = {
+    "p7_any_value": (p7_any_value, P7A),
     "p1_deterministic": (p1_deterministic, P1),
     "p2_randomised": (p2_randomised, P2),
     "p3_decrypt": (p3_decrypt, P3),
