@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ from recollect.functions import text as tx
 BLOCK_TURNS = 1024
 
 
-def segments(events: DataFrame, default_session: bool = False) -> DataFrame:
-    """Events with text: key, ``seq``, ``event_id`` ('' if missing), ``author``, ``text``.
+def segments(events: DataFrame, default_session: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Events with text: key, ``seq``, ``event_id`` ('' if missing), ``author``, ``text``, ``keep``.
 
     With ``default_session`` a missing session id becomes the tenant's shared one.
     """
@@ -28,6 +30,7 @@ def segments(events: DataFrame, default_session: bool = False) -> DataFrame:
         F.coalesce(F.col("event_id"), F.lit("")).alias("event_id"),
         tx.default_if_empty(F.col("author"), DEFAULT_EVENT_AUTHOR).alias("author"),
         tx.strip(tx.join_parts(F.col("parts"))).alias("text"),
+        *keep,
     )
     return raw.filter(F.col("text") != "")
 

@@ -92,7 +92,7 @@ class _Handle:
     """State of one key, with the calls that the processor makes."""
 
     def __init__(self):
-        self.ids, self.lines, self.timers = {}, [], []
+        self.ids, self.lines, self.timers, self.value = {}, [], [], []
 
     def getMapState(self, *_):
         ids = self.ids
@@ -104,6 +104,14 @@ class _Handle:
         lines = self.lines
         return SimpleNamespace(exists=lambda: bool(lines), get=lambda: iter(lines), appendList=lines.extend, clear=lines.clear)
 
+    def getValueState(self, *_):
+        value = self.value
+
+        def update(row):
+            value[:] = [row]
+
+        return SimpleNamespace(exists=lambda: bool(value), get=lambda: value[0], update=update, clear=value.clear)
+
     def listTimers(self):
         return iter(self.timers)
 
@@ -129,7 +137,7 @@ def test_a_session_expires_as_a_whole_after_its_last_line():
     assert handle.timers == [37_000]
     assert write(30, "e2") == [] and handle.timers == [37_000], "known events are no activity"
     assert list(processor.handleExpiredTimer(("a", "u", "s"), None, None)) == []
-    assert not handle.ids and not handle.lines
+    assert not handle.ids and not handle.lines and not handle.value
     assert write(50, "e2") == ["user: e2"]
 
 
