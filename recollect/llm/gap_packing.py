@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recollect.llm.chunks import Chunks, groups, single_threaded, spans
+from recollect.llm.chunks import Chunks, groups, single_threaded, spans, word_encoder, word_split
 from recollect.llm.store import stored
 
 #: Tokens of a sequence, the id behind each document, and characters worked on at once.
-CAPACITY, END, SIZE = 2048, 0, 1 << 21
+CAPACITY, END, SIZE = 2048, 0, 1 << 20
 #: Up to so many rows the ranks that parts begin with are broadcast (16 MB); more are joined by shuffle.
 BROADCAST_PARTS = 1_000_000
 
@@ -147,7 +147,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single_threaded()
         library, part, seen = shared.value, TaskContext.get().partitionId(), [0] * (capacity + 1)
-        chunks = Chunks(lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)])
+        chunks = Chunks(word_encoder(library), split=word_split)
         for names, texts in groups(batches, SIZE):
             numbers, first, _ = chunks.numbers(texts)
             ids, before = chunks.ids(0, numbers, first)

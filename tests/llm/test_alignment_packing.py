@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from recollect.llm import gap_packing, token_alignment
-from recollect.llm.chunks import Chunks
+from recollect.llm.chunks import Chunks, byte_level_encoder, word_encoder, word_split
 from tests.llm.corpus import SCHEMA, messy, prose, table
 
 BYTE, PIECE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"))
@@ -98,31 +98,31 @@ def test_digest_and_empty_table(spark):
     assert empty.count() == 0 and "groups" in empty.columns
 
 
-def libraries():
-    def word(texts):
-        return [e.ids for e in C.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def byte(texts):
-        return [e.ids for e in A.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-    return byte, lambda texts: B.encode(texts), word
+SIZES = np.array([len(b) for b in BYTES_A])
 
 
 def chunked(texts):
-    encoders = libraries()
-    chunks = Chunks(*encoders)
-    numbers, first, _ = chunks.numbers(texts)
-    for k, encode in enumerate(encoders):
-        ids, ends = chunks.ids(k, numbers, first)
-        for text, x, y, whole in zip(texts, ends, ends[1:], encode(texts)):
+    """Ids by chunks against those of whole texts, for the three vocabularies."""
+    both = Chunks(byte_level_encoder(A, SIZES), lambda t: B.encode(t))
+    numbers, first, _ = both.numbers(texts)
+    words = Chunks(word_encoder(C), split=word_split)
+    found = [both.ids(k, numbers, first) for k in (0, 1)]
+    numbers, first, _ = words.numbers(texts)
+    found.append(words.ids(0, numbers, first))
+    want = [
+        [e.ids for e in A.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], B.encode(texts),
+        [e.ids for e in C.encode_batch_fast(texts, add_special_tokens=False)],
+    ]
+    for k, ((ids, ends), wholes) in enumerate(zip(found, want)):
+        for text, x, y, whole in zip(texts, ends, ends[1:], wholes):
             if k != 1 or "▁" not in text:
                 assert ids[x:y].tolist() == whole, (k, text)
 
 
 def test_chunks_give_the_ids_of_whole_texts():
     rng = random.Random(5)
-    glyphs = [*"aB1.,'-_ \n\t", " ", " ", "  ", "é", "ß", "語", " ", "́", "​", "\U0001f600", "'s", "<|endoftext|>", "　", "\x85"]
-    chunked(ODD + ["".join(rng.choice(glyphs) for _ in range(rng.randrange(1, 40))) for _ in range(3000)])
+    glyphs = [*"aB1.,'-_ \n\t", " ", " ", "  ", "é", "ß", "語", " ", "́", "​", "\U0001f600", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "　", "\x85", "İ", "Σ", "ᄒ", "ᅡ", "ᆫ", "²", "#", "*", "٣", "̸", "<", "क़", "שּׁ", "が", "か", "゙", ".", "."]
+    chunked(ODD + ["".join(rng.choice(glyphs) for _ in range(rng.randrange(1, 40))) for _ in range(8000)])
 
 
 @settings(max_examples=300, deadline=None)
@@ -133,7 +133,7 @@ def test_chunks_of_any_text(text):
 
 def test_chunks_start_anew(monkeypatch):
     monkeypatch.setattr("recollect.llm.chunks.KEPT_CHUNKS", 3)
-    chunks = Chunks(libraries()[2])
+    chunks = Chunks(word_encoder(C), split=word_split)
     for text in ("one two three four", "four five six seven", "one"):
         numbers, first, _ = chunks.numbers([text])
         assert chunks.ids(0, numbers, first)[0].tolist() == C.encode(text, add_special_tokens=False).ids
