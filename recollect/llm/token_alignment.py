@@ -18,11 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recollect.llm.chunks import MARK, Chunks, groups, single_threaded
+from recollect.llm.chunks import CUT, MARK, Chunks, byte_level_encoder, groups, single_threaded, spans, whole
 from recollect.llm.store import discard, stored
 
 #: Characters aligned at once, and overlaps of a block (some 20 bytes each in its task).
-SIZE, BLOCK = 1 << 21, 6_000_000
+SIZE, BLOCK = 1 << 19, 1_500_000
 #: Ids of the second side fit so many bits.
 B_BITS = 24
 
@@ -115,11 +115,13 @@ class _Aligner:
         pieces = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         self.tables = byte_level_bytes(byte_library), piece_bytes(pieces)
         self.sizes = [np.array([len(t) for t in table], np.int64) for table in self.tables]
+        self.joined = [np.frombuffer(b"".join(table), np.uint8) for table in self.tables]
+        self.starts = [np.cumsum(sizes) - sizes for sizes in self.sizes]
         self.names = _names(len(self.tables[0]), ",", "|"), _names(len(self.tables[1]), ",", ";")
         self.chunks = Chunks(
-            lambda texts: [e.ids for e in byte_library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)],
+            byte_level_encoder(byte_library, self.sizes[0]),
             lambda texts: pieces.encode(texts, num_threads=1),
-            cut=cut,
+            split=CUT.split if cut else whole,
         )
         self.odd: set[int] = set()  # chunks that either side does not give back
 
@@ -128,10 +130,7 @@ class _Aligner:
         numbers, first, fresh = self.chunks.numbers(texts)
         new = len(self.chunks.known) - len(fresh)
         self.odd = self.odd if new else set()
-        for n, text in enumerate(fresh, new):
-            whole = b" " + text.encode()
-            if any(self._joined(k, np.array([n])) != whole for k in (0, 1)):
-                self.odd.add(n)
+        self.odd.update(self._not_given_back(fresh, np.arange(new, new + len(fresh))))
         good = np.array([bool(text) for text in texts])
         if self.odd:
             odd = np.fromiter(self.odd, np.int64, len(self.odd))
@@ -146,6 +145,17 @@ class _Aligner:
         (a, first_a), (b, first_b) = (self.chunks.ids(k, numbers[at], first) for k in (0, 1))
         return good, Aligned(a, first_a, b, first_b, *self.sizes)
 
+    def _not_given_back(self, texts: list[str], numbers: np.ndarray) -> list[int]:
+        """Which of the chunks differ from their bytes on either side."""
+        raw = b" " + b" ".join(text.encode() for text in texts)
+        want = np.fromiter((len(text.encode()) + 1 for text in texts), np.int64, len(texts))
+        for k in (0, 1):
+            ids, first = self.chunks.ids(k, numbers, np.arange(len(numbers) + 1))
+            ends = np.concatenate([[0], np.cumsum(self.sizes[k][ids])])[first]
+            if (np.diff(ends) != want).any() or self.joined[k][spans(self.starts[k][ids], self.sizes[k][ids])].tobytes() != raw:
+                return [n for n, text in zip(numbers.tolist(), texts) if any(self._joined(k, np.array([n])) != b" " + text.encode() for k in (0, 1))]
+        return []
+
     def _joined(self, k: int, numbers: np.ndarray) -> bytes:
         table, ends, flat = self.tables[k], self.chunks.ends[k], self.chunks.flat[k]
         return b"".join(table[i] for n in numbers.tolist() for i in flat[ends[n] : ends[n + 1]].tolist())
