@@ -128,7 +128,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", ids: str = "ids", length: int
     tokens is cut into full rows and a rest, so nothing is lost; null and empty ones take
     no room. Repeated rows are packed each; a null id is carried as null. Tasks pack what
     they read, ``block`` tokens at a time, so memory is bounded and nothing is shuffled;
-    ``shard`` and ``block`` tell the parts. Other columns are not looked at.
+    ``shard`` and ``block`` tell the parts. Ids that 16 bits cannot hold fail the job. Other
+    columns are not looked at.
     """
     if not 0 < length < 1 << 16:
         raise ValueError("length must fit 16 bits")
@@ -152,6 +153,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", ids: str = "ids", length: int
         for batch in batches:
             lists = batch.column(1)
             flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            if len(flat) and not 0 <= flat[ends[0] : ends[-1]].min(initial=0) <= flat[ends[0] : ends[-1]].max(initial=0) < 1 << 16:
+                raise ValueError("ids must fit 16 bits")
             for k, name in enumerate(batch.column(0).to_pylist()):
                 own = flat[ends[k] : ends[k + 1]].astype("<u2")
                 for start in range(0, len(own), length):

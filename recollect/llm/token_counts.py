@@ -6,6 +6,7 @@ token. A pre-token that is such a string counts one; only the others are merged.
 
 from __future__ import annotations
 
+import heapq
 import json
 
 import numpy as np
@@ -19,6 +20,8 @@ from recollect.llm import arrays, pretokens
 #: Counts of pre-tokens kept in a worker; a full cache is emptied and built anew.
 KNOWN = 400_000
 LIMIT = 512
+#: Bytes of a pre-token above which merges are taken from a heap.
+LONG = 256
 _NEVER = 1 << 60
 
 
@@ -54,6 +57,8 @@ def load(path: str) -> dict:
 
 def count_merged(text: bytes, pairs: dict) -> int:
     """How many tokens merging makes of one pre-token: lowest rank first, then leftmost."""
+    if len(text) > LONG:
+        return _count_long(text, pairs)
     parts = [text[i : i + 1] for i in range(len(text))]
     ranks = [pairs.get(p, _NEVER) for p in zip(parts, parts[1:])]
     while ranks:
@@ -70,6 +75,33 @@ def count_merged(text: bytes, pairs: dict) -> int:
     return len(parts)
 
 
+def _count_long(text: bytes, pairs: dict) -> int:
+    """The same with a heap over a linked list, which long pre-tokens need: looking for the
+    lowest rank anew after each merge grows with the square of the length."""
+    size = len(text)
+    parts: list[bytes | None] = [text[i : i + 1] for i in range(size)]
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    heap = [(rank, i, i + 1) for i in range(size - 1) if (rank := pairs.get((parts[i], parts[i + 1]))) is not None]
+    heapq.heapify(heap)
+    left = size
+    while heap:
+        rank, i, j = heapq.heappop(heap)
+        # either side may have grown or gone since: then this is another pair, or none
+        if parts[i] is None or after[i] != j or pairs.get((parts[i], parts[j])) != rank:
+            continue
+        parts[i], parts[j] = parts[i] + parts[j], None
+        left -= 1
+        after[i] = k = after[j]
+        if k < size:
+            before[k] = i
+            if (rank := pairs.get((parts[i], parts[k]))) is not None:
+                heapq.heappush(heap, (rank, i, k))
+        h = before[i]
+        if h >= 0 and (rank := pairs.get((parts[h], parts[i]))) is not None:
+            heapq.heappush(heap, (rank, h, i))
+    return left
+
+
 def _cuts(data: np.ndarray, bounds: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """``bounds`` and the borders of special strings, sorted; where special strings start."""
     raw, found, at = data.tobytes(), [], 0
@@ -119,7 +151,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
 
     ``n_tokens`` is what the byte-level BPE file at ``path`` (on the driver) makes of the
     whole text; a special string in a text is one token. Null is empty: no bytes, no
-    tokens. Repeated rows are rows of their own; other columns are not looked at.
+    tokens. Repeated rows are rows of their own; other columns are not looked at. Very long
+    texts and words (a megabyte without a space) take time in proportion to ``n log n``.
     """
     tables = load(path)
     tables["classes"] = pretokens.classes()

@@ -158,3 +158,30 @@ def test_library_ids_also_of_texts_that_the_library_gives_up_on(spark, library):
     ids = {r.doc_id: list(r.ids) for r in packing.library_ids(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "ids").collect()}
     assert b"".join(library.decode_single_token_bytes(i) for i in ids[99]).decode() == blank
     assert all(ids[k] == library.encode_ordinary(t) for k, t in enumerate(ODD, 20))
+
+
+def test_long_words_are_counted_as_the_short_way_does(monkeypatch):
+    rng = random.Random(12)
+    tables = token_counts.load(public_tokenizers.path("byte_bpe_50k.json"))
+    words = ["".join(rng.choice("abcdeinorst") for _ in range(rng.randrange(1, 200))).encode() for _ in range(300)]
+    words += [b"a" * n for n in (1, 2, 3, 17, 64, 255, 256, 257)] + ["語".encode() * 40]
+    short = [token_counts.count_merged(w, tables["pairs"]) for w in words]
+    assert short == [token_counts._count_long(w, tables["pairs"]) for w in words]
+
+
+def test_a_megabyte_without_a_space_ends():
+    import time
+
+    rng = random.Random(13)
+    tables = token_counts.load(public_tokenizers.path("byte_bpe_50k.json"))
+    word, began = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), time.time()
+    assert token_counts.count_merged(word.encode(), tables["pairs"]) > 300_000
+    assert time.time() - began < 60
+
+
+@pytest.mark.parametrize("bad", [65_536, 70_000, -1])
+def test_ids_beyond_16_bits_are_refused(spark, bad):
+    docs = spark.createDataFrame([(1, [1, 65_535]), (2, [3, bad])], "doc_id long, ids array<int>")
+    assert packing.pack(docs.filter("doc_id = 1"), length=8).count() == 1
+    with pytest.raises(Exception, match="16 bits"):
+        packing.pack(docs, length=8).collect()
