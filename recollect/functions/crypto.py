@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -65,3 +66,44 @@ def decrypt(ciphertext: Column, key: bytes, aad: Column) -> Column:
         ciphertext, F.lit(bytearray(_derived(key, "encrypt"))), F.lit("GCM"), F.lit("DEFAULT"), aad
     )
     return plain.cast("string")
+
+
+# ---- key rings: a key's number stands in front of what it has encrypted --------
+
+#: Bytes of a key's number.
+_NUMBER = 4
+
+
+def key_ring(master: bytes, numbers: Sequence[int]) -> dict[int, bytes]:
+    """Keys by number, each derived from one secret."""
+    return {n: _derived(master, f"field key {n}") for n in numbers}
+
+
+def _numbered(number: int) -> bytearray:
+    return bytearray(number.to_bytes(_NUMBER, "big"))
+
+
+def _bound(number: int, aad: Column) -> Column:
+    """The path with the key's number, so that neither can be exchanged."""
+    return F.concat(F.lit(_numbered(number)), aad.cast("binary"))
+
+
+def encrypt_under(value: Column, ring: Mapping[int, bytes], number: int, algorithm: str, aad: Column) -> Column:
+    """The number of a key of the ring, then the value encrypted by that key."""
+    if number not in ring:
+        raise ValueError(f"no key {number} in the ring")
+    return F.concat(F.lit(_numbered(number)), encrypt(value, ring[number], algorithm, _bound(number, aad)))
+
+
+def key_number(ciphertext: Column) -> Column:
+    """Which key a value is encrypted under."""
+    return F.conv(F.hex(F.substring(ciphertext, 1, _NUMBER)), 16, 10).cast("int")
+
+
+def decrypt_by_ring(ciphertext: Column, ring: Mapping[int, bytes], aad: Column) -> Column:
+    """Plaintext, by the key that the value names; null where the ring has no such key or key
+    and path do not match."""
+    plain, body = F.lit(None).cast("string"), F.substring(ciphertext, _NUMBER + 1, 1 << 30)
+    for number, key in ring.items():
+        plain = F.when(key_number(ciphertext) == number, decrypt(body, key, _bound(number, aad))).otherwise(plain)
+    return plain

@@ -25,6 +25,7 @@ from recollect.config import (
 from recollect.functions import text as tx
 from recollect.functions.maps import STRING_MAP, literal_map, merge_maps
 from recollect.functions.signatures import signature
+from recollect.functions.typed import is_typed, merge_typed, typed_map
 from recollect.operators import embedding as em
 from recollect.operators.distill import distill
 from recollect.operators.transcript import segments, transcripts
@@ -212,15 +213,20 @@ def insert_memories(
     entries: DataFrame,
     config: MemoryConfig,
     now: Now,
-    metadata: Mapping[str, str] | None = None,
+    metadata: Mapping[str, object] | None = None,
     entry_id: Column | None = None,
 ) -> DataFrame:
     """Independent memories, never distilled and never merged; blank entries are skipped.
 
     ``entry_id`` is a key of the entry that stays the same if a task is run again;
-    without one each row gets a random key.
+    without one each row gets a random key. Metadata may be strings or variants
+    (:mod:`recollect.functions.typed`), which keep their types.
     """
     now = tx.moment(now)
+    if is_typed(entries, "custom_metadata"):
+        given = merge_typed(F.col("custom_metadata"), typed_map(metadata or {}))
+    else:
+        given = merge_maps(F.col("custom_metadata"), literal_map(metadata))
     key = F.uuid() if entry_id is None else key_of(F.lit(SOURCE_DIRECT), entry_id.cast("string"))
     rows = entries.select(
         key.alias("memory_id"),
@@ -231,7 +237,7 @@ def insert_memories(
         F.lit(None).cast("array<string>").alias("event_ids"),
         tx.default_if_empty(F.col("author"), config.memory_author).alias("author"),
         F.lit(SOURCE_DIRECT).alias("source"),
-        merge_maps(F.col("custom_metadata"), literal_map(metadata)).alias("custom_metadata"),
+        given.alias("custom_metadata"),
         F.lit(None).cast("map<string,binary>").alias("secure_metadata"),
         now.alias("created_at"),
         now.alias("updated_at"),

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recollect.functions.crypto import DETERMINISTIC, decrypt, encrypt
+from recollect.functions.crypto import DETERMINISTIC, decrypt, decrypt_by_ring, encrypt, encrypt_under, key_number
 from recollect.functions.grams import gram_places
 from recollect.functions.maps import empty_map
 from recollect.sources.scratch import stored
@@ -17,15 +18,54 @@ from recollect.sources.scratch import stored
 SECURE_MAP = "map<string,binary>"
 
 
+@dataclass(frozen=True)
+class FieldRule:
+    """How one field is protected: the algorithm and the number of its key."""
+
+    algorithm: str
+    key: int
+
+
 def encrypt_fields(memories: DataFrame, policy: Mapping[str, str], key: bytes) -> DataFrame:
     """Moves each metadata path of the policy from ``custom_metadata`` to
     ``secure_metadata``, encrypted by its algorithm; the path is authenticated too."""
     plain = F.col("custom_metadata")
-    secured = [
-        cell
-        for path, algorithm in policy.items()
-        for cell in (F.lit(path), encrypt(plain[path], key, algorithm, F.lit(path)))
-    ]
+    return _secured(memories, {path: encrypt(plain[path], key, algorithm, F.lit(path)) for path, algorithm in policy.items()})
+
+
+def encrypt_by_rules(memories: DataFrame, rules: Mapping[str, FieldRule], ring: Mapping[int, bytes]) -> DataFrame:
+    """Like ``encrypt_fields``, but each field has a key of its own, whose number stands in
+    front of the ciphertext."""
+    plain = F.col("custom_metadata")
+    return _secured(memories, {p: encrypt_under(plain[p], ring, r.key, r.algorithm, F.lit(p)) for p, r in rules.items()})
+
+
+def decrypt_by_ring_fields(memories: DataFrame, paths: list[str], ring: Mapping[int, bytes]) -> DataFrame:
+    """A column for each path; null where absent, or under a key that the ring lacks."""
+    held = F.col("secure_metadata")
+    return memories.select("*", *[decrypt_by_ring(held[p], ring, F.lit(p)).alias(p) for p in paths])
+
+
+def rotate(memories: DataFrame, rules: Mapping[str, FieldRule], ring: Mapping[int, bytes]) -> DataFrame:
+    """Re-encrypts what is not yet under its rule's key. A row whose fields all are keeps its
+    ciphertext; a value under a key that the ring lacks stays as it is rather than being lost."""
+    held, fresh = F.col("secure_metadata"), F.col("secure_metadata")
+    for path, rule in rules.items():
+        plain = decrypt_by_ring(held[path], ring, F.lit(path))
+        old = (key_number(held[path]) != rule.key) & plain.isNotNull()
+        renewed = encrypt_under(plain, ring, rule.key, rule.algorithm, F.lit(path))
+        others = F.map_filter(fresh, _other_than(path))
+        fresh = F.when(old, F.map_concat(others, F.create_map(F.lit(path), renewed).cast(SECURE_MAP))).otherwise(fresh)
+    return memories.withColumn("secure_metadata", fresh)
+
+
+def _other_than(path: str):
+    return lambda k, _: k != path
+
+
+def _secured(memories: DataFrame, ciphertexts: Mapping[str, Column]) -> DataFrame:
+    plain, policy = F.col("custom_metadata"), list(ciphertexts)
+    secured = [cell for path, value in ciphertexts.items() for cell in (F.lit(path), value)]
     fresh = F.map_filter(F.create_map(*secured).cast(SECURE_MAP), lambda _, v: v.isNotNull())
     kept = F.map_filter(
         F.coalesce("secure_metadata", F.create_map().cast(SECURE_MAP)),

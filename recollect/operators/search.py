@@ -10,6 +10,7 @@ from recollect.config import QUERY_INPUT, TENANT, MemoryConfig, Now
 from recollect.functions import text as tx
 from recollect.functions import vectors as vx
 from recollect.functions.maps import STRING_MAP, empty_map, merge_maps
+from recollect.functions.typed import is_typed, result_values
 from recollect.operators import embedding as em
 from recollect.operators.approximate import approximate_top_k
 from recollect.operators.nearest import nearest
@@ -37,9 +38,11 @@ def shape_results(hits: DataFrame, config: MemoryConfig) -> DataFrame:
 
     The map starts with session, source and score; stored metadata of the same name
     replaces them there, but never the ``score`` column. Hits without text are left
-    out here, after the limit, so a query may get fewer rows than it asked for.
+    out here, after the limit, so a query may get fewer rows than it asked for. Where the
+    stored metadata are variants, the map's values are too, and its score is a number.
     """
     score = vx.bounded_score(config.similarity, F.col("similarity"))
+    typed = is_typed(hits, "custom_metadata")
     own = F.create_map(
         F.lit("session_id"),
         F.col("session_id"),
@@ -58,7 +61,11 @@ def shape_results(hits: DataFrame, config: MemoryConfig) -> DataFrame:
         tx.default_if_empty(F.col("author"), config.memory_author).alias("author"),
         tx.iso_timestamp(F.col("updated_at")).alias("timestamp"),
         score.alias("score"),
-        merge_maps(own, F.coalesce("custom_metadata", empty_map())).alias("custom_metadata"),
+        (
+            result_values(F.col("session_id"), F.col("source"), score, F.col("custom_metadata"))
+            if typed
+            else merge_maps(own, F.coalesce("custom_metadata", empty_map()))
+        ).alias("custom_metadata"),
     )
 
 

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from recollect import batch_embedder, column_embedder
 from recollect.config import QUERY_INPUT
+from recollect.operators.distinct_texts import by_length, embed_distinct
 from recollect.operators.embedding import embed
-from recollect.operators.ingest import ingest_sessions
+from recollect.operators.ingest import ingest_sessions, insert_memories
+from recollect.operators.rejects import set_aside
 from recollect.plans import inputs as i
 from recollect.plans.inputs import DIMS
 
@@ -147,7 +149,50 @@ SELECT session_id, CAST(CASE WHEN max(seq) >= 4 THEN 2 ELSE 1 END AS BIGINT) AS
 FROM ev GROUP BY 1"""
 
 
+def e2_distinct_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts are sent once, in calls of a bounded number of characters; each row has its
+    own text's vector."""
+
+    def sized_model():
+        return lambda texts, _: [[float(len(texts) == 1 or sum(map(len, texts)) <= 20_000), float(len(t))] for t in texts]
+
+    config = replace(i.CONFIG, embedder=by_length(sized_model, call_chars=20_000), dimensions=2)
+    done, sent = embed_distinct(_docs(spark, sf_dir), config, "text")
+    return done.select(
+        "doc_id", F.col("embedding")[0].cast("bigint").alias("within_call"), F.col("embedding")[1].cast("bigint").alias("chars"),
+        F.lit(sent).cast("bigint").alias("texts_sent"),
+    )
+
+
+E2D = """SELECT doc_id, CAST(1 AS BIGINT) AS within_call, length(text) AS chars,
+  (SELECT count(DISTINCT text) FROM documents) AS texts_sent FROM documents"""
+
+
+def e3_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the vectors are empty and a third too long: these are set aside with the
+    reason, the others are stored; both are counted in the pass that embeds them."""
+    config = replace(i.CONFIG, embedder=column_embedder(_by_length), strict_embedding=False, signature_bits=None)
+    made = insert_memories(i.entries(spark, sf_dir), config, i.at(i.FIRST), entry_id=F.col("entry_id"))
+    checked = set_aside(made, config)
+    table = i.new_table(spark, "checked")
+    table.add_memories(checked.kept)
+    kept = table.read().select("memory_id", F.lit("stored").alias("fate"))
+    both = kept.union(checked.rejected.select("memory_id", F.col("reason").alias("fate")))
+    count = F.lit(None).cast("bigint")
+    for name, fate in (("kept", "stored"), ("empty", "empty"), ("wrong_length", "wrong_length")):
+        count = F.when(F.col("fate") == fate, checked.counts[name]).otherwise(count)
+    return both.select("memory_id", "fate", count.cast("bigint").alias("counted"))
+
+
+E3R = """WITH d AS (SELECT sha256(length('add_memory') || ':add_memory' || length(CAST(doc_id AS VARCHAR)) || ':' || doc_id) AS memory_id,
+  CASE length(trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) % 3 WHEN 0 THEN 'empty' WHEN 1 THEN 'stored' ELSE 'wrong_length' END AS fate
+  FROM documents WHERE trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> '')
+SELECT memory_id, fate, count(*) OVER (PARTITION BY fate) AS counted FROM d"""
+
+
 QUERIES = {
+    "e2_distinct_texts": (e2_distinct_texts, E2D),
+    "e3_rejected": (e3_rejected, E3R),
     "e1_pluggable_embedder": (e1_pluggable_embedder, E1),
     "e2_batched_calls": (e2_batched_calls, E2),
     "e3_empty_vectors": (e3_empty_vectors, E3),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recollect.config import SESSION_KEY, SOURCE_EVENTS, SOURCE_SESSION, TENANT
+from recollect.functions import typed
 from recollect.functions.maps import literal_map, merge_maps
 from recollect.functions.text import iso_timestamp
 from recollect.operators.distill import keep_user_lines
@@ -23,6 +24,7 @@ from recollect.operators.transcript import segments
 from recollect.plans import inputs as i
 from recollect.plans.transcript import DISTILLED_SQL
 from recollect.sources.events import read_events
+from recollect.sources.scratch import stored
 from recollect.session import scratch_path
 
 KEYS = list(SESSION_KEY)
@@ -252,6 +254,36 @@ W4 = """SELECT CAST(doc_id AS VARCHAR) AS entry_id, lang, 'import' AS source, '7
 CAST(3 AS BIGINT) AS keys FROM documents"""
 
 
+def typed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as ready-made memories whose metadata are JSON objects."""
+    docs = i.table(spark, sf_dir, "documents")
+    shares = F.struct((F.col("n_chars") / 1000).alias("thousands"), F.array("lang", "source").alias("tags"))
+    fields = F.struct("lang", F.col("n_chars").alias("chars"), (F.col("n_chars") > 2000).alias("long"), shares.alias("more"))
+    json = docs.select(F.col("doc_id").cast("string").alias("entry_id"), F.to_json(fields).alias("json"))
+    return i.entries(spark, sf_dir).drop("custom_metadata").join(json, "entry_id").withColumn("custom_metadata", typed.from_json(F.col("json"))).drop("json")
+
+
+def w4_typed_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, truth values and nested objects come back as such after they were stored; the
+    call's number replaces the entry's string."""
+    entries = typed_entries(spark, sf_dir)
+    made = insert_memories(entries, i.CONFIG, i.at(i.FIRST), {"lang": 5, "batch": 7.5}, F.col("entry_id"))
+    md = F.col("custom_metadata")
+    kinds = F.transform(F.array_sort(F.map_keys(md)), lambda k: F.concat(k, F.lit(":"), F.split(F.schema_of_variant(md[k]), "<")[0]))
+    return stored(made.select("memory_id", "custom_metadata"), "typed").select(
+        "memory_id", typed.value_of(md, "chars", "bigint").alias("chars"), typed.value_of(md, "long", "boolean").alias("long"),
+        F.try_variant_get(md["more"], "$.thousands", "double").alias("thousands"), F.try_variant_get(md["more"], "$.tags[1]", "string").alias("tag"),
+        typed.value_of(md, "lang", "bigint").alias("lang"), typed.as_strings(md)["batch"].alias("batch"),
+        F.array_join(kinds, ",").alias("kinds"),
+    )
+
+
+W4T = """SELECT sha256(length('add_memory') || ':add_memory' || length(CAST(doc_id AS VARCHAR)) || ':' || doc_id) AS memory_id,
+  n_chars AS chars, n_chars > 2000 AS long, n_chars / 1000 AS thousands, source AS tag, CAST(5 AS BIGINT) AS lang, '7.5' AS batch,
+  'batch:DOUBLE,chars:BIGINT,lang:BIGINT,long:BOOLEAN,more:OBJECT' AS kinds
+FROM documents WHERE trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> ''"""
+
+
 def w5_upsert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Creation time and metadata survive an update without metadata; one with it replaces the map."""
     ev = i.events(spark, sf_dir)
@@ -345,6 +377,7 @@ QUERIES = {
     "w2_distilled_delta": (w2_distilled_delta, W2D),
     "w3_insert_memories": (w3_insert_memories, W3),
     "w4_merge_metadata": (w4_merge_metadata, W4),
+    "w4_typed_metadata": (w4_typed_metadata, W4T),
     "w5_upsert_rules": (w5_upsert_rules, W5),
     "w6_event_dedup": (w6_event_dedup, W6),
     "w6_dedupe_within_batch": (w6_dedupe_within_batch, W6B),

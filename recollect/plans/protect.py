@@ -9,6 +9,7 @@ from recollect.config import TENANT
 from recollect.functions import crypto
 from recollect.operators import protect
 from recollect.plans import inputs as i
+from recollect.sources.scratch import stored
 
 POLICY = {"segment": crypto.DETERMINISTIC, "name": crypto.RANDOM}
 #: What counts as a mail address in a text.
@@ -125,6 +126,52 @@ P7 = f"""SELECT doc_id, mail FROM (
 WHERE contains(shown, mail)"""
 
 
+RULES = {"name": protect.FieldRule(crypto.RANDOM, 1), "segment": protect.FieldRule(crypto.DETERMINISTIC, 2)}
+ROTATED = RULES | {"segment": protect.FieldRule(crypto.DETERMINISTIC, 3)}
+
+
+def _by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ring = crypto.key_ring(i.session_key(spark), [1, 2])
+    return protect.encrypt_by_rules(i.customer_memories(spark, sf_dir), RULES, ring)
+
+
+def p6_key_per_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which key each field is under, and that its own key alone opens it."""
+    ring = crypto.key_ring(i.session_key(spark), [1, 2])
+    opened = protect.decrypt_by_ring_fields(_by_rules(spark, sf_dir), ["name", "segment"], ring)
+    swapped = {1: ring[2], 2: ring[1]}
+    misread = [crypto.decrypt_by_ring(_secured(p), r, F.lit(p)).isNull() for p in RULES for r in (swapped, {9: ring[1]})]
+    return opened.select(
+        "memory_id", "name", "segment", crypto.key_number(_secured("name")).alias("name_key"),
+        crypto.key_number(_secured("segment")).alias("segment_key"), (misread[0] & misread[1] & misread[2] & misread[3]).alias("others_fail"),
+    )
+
+
+P6K = f"""WITH {CM_SQL} SELECT memory_id, name, segment, CASE WHEN name IS NOT NULL THEN 1 END AS name_key,
+  CASE WHEN segment IS NOT NULL THEN 2 END AS segment_key, true AS others_fail FROM cm"""
+
+
+def p3_after_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments go from key 2 to key 3: with the new ring they read as before, with the old one
+    not; names stay as they were, to the byte; and a second rotation changes nothing."""
+    master = i.session_key(spark)
+    before = stored(_by_rules(spark, sf_dir), "under-two")
+    after = stored(protect.rotate(before, ROTATED, crypto.key_ring(master, [1, 2, 3])), "under-three")
+    again = protect.rotate(after, ROTATED, crypto.key_ring(master, [1, 2, 3]))
+    opened = protect.decrypt_by_ring_fields(after, ["name", "segment"], crypto.key_ring(master, [1, 3]))
+    old = before.select("memory_id", F.col("secure_metadata").alias("old"))
+    twice = again.select("memory_id", F.col("secure_metadata").alias("twice"))
+    late = crypto.decrypt_by_ring(_secured("segment"), crypto.key_ring(master, [1, 2]), F.lit("segment"))
+    return opened.join(old, "memory_id").join(twice, "memory_id").select(
+        "memory_id", "name", "segment", crypto.key_number(_secured("segment")).alias("segment_key"),
+        late.isNull().alias("old_ring_fails"), _secured("name").eqNullSafe(F.col("old")["name"]).alias("name_kept"),
+        (_secured("segment").eqNullSafe(F.col("twice")["segment"]) & _secured("name").eqNullSafe(F.col("twice")["name"])).alias("settled"),
+    )
+
+
+P3R = f"""WITH {CM_SQL} SELECT memory_id, name, segment, CASE WHEN segment IS NOT NULL THEN 3 END AS segment_key,
+  true AS old_ring_fails, true AS name_kept, true AS settled FROM cm"""
+
 TENANT_SQL = "'app' || (doc_id % 3) AS app_name, 'u' || (doc_id % 20) AS user_id"
 
 
@@ -151,6 +198,8 @@ WHERE contains(shown, value)"""
 
 
 QUERIES = {
+    "p6_key_per_field": (p6_key_per_field, P6K),
+    "p3_after_rotation": (p3_after_rotation, P3R),
     "p7_any_value": (p7_any_value, P7A),
     "p1_deterministic": (p1_deterministic, P1),
     "p2_randomised": (p2_randomised, P2),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recollect.config import TENANT
+from recollect.functions import typed
 from recollect.functions import vectors as vx
 from recollect.functions.signatures import DEFAULT_BITS
 from recollect.operators import approximate, budget
@@ -262,6 +263,28 @@ SELECT query_id, rnk AS rank, hits.memory_id, md5(transcript) AS text_md5, 'mode
 FROM hits JOIN vm USING (memory_id) WHERE transcript <> ''"""
 
 
+def q9_typed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata as variants: the score in the map is a number, and so is what was stored as one.
+    Stored values replace the map's own of the same name, but never the column."""
+    memories = i.vector_memories(spark, sf_dir)
+    number = F.col("memory_id").cast("long")
+    own = typed.typed_map({"number": number, "source": F.col("custom_metadata")["source"], "score": F.when(number % 2 == 1, number)})
+    shaped = search(i.vector_queries(spark, sf_dir), memories.withColumn("custom_metadata", own), i.CONFIG)
+    md = F.col("custom_metadata")
+    return shaped.select(
+        "query_id", "rank", "memory_id", "score", typed.value_of(md, "score", "double").alias("map_score"),
+        typed.value_of(md, "number", "bigint").alias("number"), typed.value_of(md, "source", "string").alias("map_source"),
+        F.schema_of_variant(md["number"]).alias("kind"),
+    )
+
+
+Q9T = f"""WITH {HITS_SQL}
+SELECT query_id, rnk AS rank, hits.memory_id, (1 + sim) / 2 AS score,
+  CASE WHEN CAST(hits.memory_id AS BIGINT) % 2 = 1 THEN CAST(hits.memory_id AS DOUBLE) ELSE (1 + sim) / 2 END AS map_score,
+  CAST(hits.memory_id AS BIGINT) AS number, coalesce(doc_source, 'add_memory') AS map_source, 'BIGINT' AS kind
+FROM hits JOIN vm USING (memory_id) WHERE transcript <> ''"""
+
+
 def q10_skip_empty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """German texts are blanked: such hits fall out after the limit, so queries get fewer rows."""
     memories = i.vector_memories(spark, sf_dir).withColumn(
@@ -455,6 +478,7 @@ QUERIES = {
     "q7_approximate_search": (q7_approximate_search, Q7),
     "q8_score_without_vector": (q8_score_without_vector, Q8),
     "q9_shape_results": (q9_shape_results, Q9),
+    "q9_typed_results": (q9_typed_results, Q9T),
     "q10_skip_empty_text": (q10_skip_empty_text, Q10),
     "q11_search": (q11_search, Q11),
     "q11_search_memory": (q11_search_memory, Q11M),
