@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from recollect import batch_embedder, column_embedder
 from recollect.config import QUERY_INPUT
+from recollect.operators import context_vectors as context
 from recollect.operators.distinct_texts import by_length, embed_distinct
 from recollect.operators.embedding import embed
 from recollect.operators.ingest import ingest_sessions, insert_memories
@@ -190,7 +191,32 @@ E3R = """WITH d AS (SELECT sha256(length('add_memory') || ':add_memory' || lengt
 SELECT memory_id, fate, count(*) OVER (PARTITION BY fate) AS counted FROM d"""
 
 
+CONTEXT_DIMS = 48
+
+
+def e5_context_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors learned from all documents' words and their company, for all documents."""
+    docs = _docs(spark, sf_dir)
+    return _cells(context.embed_by_context(docs, context.fit_words(docs, CONTEXT_DIMS), CONTEXT_DIMS, "doc_id"), "doc_id")
+
+
+_W, _S, _K = context.WEIGHT, context.STEPS, context.WINDOW
+E5C = f"""WITH t AS MATERIALIZED (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents),
+dw AS MATERIALIZED (SELECT doc_id, unnest(w) AS word FROM t),
+wt AS MATERIALIZED (SELECT * FROM (SELECT word, CAST(floor(log2((SELECT count(*) FROM documents)::DOUBLE / count(DISTINCT doc_id)) * {_W} + 0.5) AS BIGINT) AS weight FROM dw GROUP BY word) a WHERE weight > 0),
+ps AS (SELECT w[i] AS a, w[i + k] AS b FROM (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM t) x, range(1, {_K + 1}) r(k) WHERE i + k <= len(w) AND w[i] <> w[i + k]),
+nb AS (SELECT word, near, count(*) AS n FROM (SELECT a AS word, b AS near FROM ps UNION ALL SELECT b, a FROM ps) u GROUP BY ALL),
+en AS (SELECT word, CAST('0x' || substr(d, 1, 8) AS BIGINT) % {CONTEXT_DIMS} AS dim, CASE WHEN substr(d, 9, 1) < '8' THEN 1 ELSE -1 END AS sign
+  FROM (SELECT word, md5(word || ':' || j) AS d FROM wt, range({context.ENTRIES}) r(j)) z),
+cx AS MATERIALIZED (SELECT nb.word, dim, sum(n * wt.weight * sign)::BIGINT AS x FROM nb JOIN wt ON wt.word = near JOIN en ON en.word = near GROUP BY nb.word, dim HAVING x <> 0),
+wv AS (SELECT word, dim, CAST(floor(x * {_S} / max(abs(x)) OVER (PARTITION BY word)) AS BIGINT) AS value FROM cx),
+tx AS (SELECT doc_id, dim, sum(tf * weight * value)::BIGINT AS x FROM (SELECT doc_id, word, count(*) AS tf FROM dw GROUP BY ALL) f
+  JOIN wt USING (word) JOIN wv USING (word) GROUP BY doc_id, dim)
+SELECT doc_id, dim, CAST(CAST(x / max(abs(x)) OVER (PARTITION BY doc_id) AS FLOAT) AS DOUBLE) AS value FROM tx WHERE x <> 0"""
+
+
 QUERIES = {
+    "e5_context_vectors": (e5_context_vectors, E5C),
     "e2_distinct_texts": (e2_distinct_texts, E2D),
     "e3_rejected": (e3_rejected, E3R),
     "e1_pluggable_embedder": (e1_pluggable_embedder, E1),
