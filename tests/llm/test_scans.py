@@ -66,9 +66,70 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert not set(found) & {"a" * 30, "the-quick-brown-fox-jumps", "internationalizationandlocalization"}
 
 
-def test_p_values_of_random_strings_are_uniform():
+def test_tokens_of_lower_case_letters_and_in_paths_are_found(spark):
+    rng = random.Random(21)
+    low, url = ("".join(a) for a in (secret_scan.ALPHABETS["base36 lower"], secret_scan.ALPHABETS["base64url"]))
+    rows, want = [], {}
+    for k in range(300):
+        token = "".join(rng.choice(low) for _ in range(rng.choice([24, 32, 40, 64])))
+        path = "".join(rng.choice(url) for _ in range(40))
+        text = f"{prose(rng, 5)} key {token} or https://example.com/reset-password/{path}/a+b {prose(rng, 5)}"
+        rows.append((k, text))
+        want[k] = {token, path}
+    found = {k: set() for k in want}
+    for r in secret_scan.find_secrets(table(spark, rows)).collect():
+        for s in filter(None, r.spans.split(",")):
+            kind, a, b = s.split(":")
+            found[r.doc_id].add(rows[r.doc_id][1][int(a) : int(b)])
+    assert sum(len(found[k] & want[k]) for k in want) >= 0.85 * 600
+    assert not any(f - want[k] for k, f in found.items() if any(len(x) < 20 for x in f))
+
+
+def test_a_few_strings_that_are_not_random_stay_unreported(spark):
+    rows = [(1, "a" * 130), (2, "internationalizationandlocalization " + "b" * 64), (3, "-" * 80), (4, "0123456789" * 5)]
+    assert {r.n_random for r in secret_scan.find_secrets(table(spark, rows)).collect()} == {0}
+    rng = random.Random(5)
+    alone = "".join(rng.choice(secret_scan.ALPHABETS["base62"]) for _ in range(48))
+    assert [r.n_random for r in secret_scan.find_secrets(table(spark, [(1, alone)])).collect()] == [1]
+
+
+def test_thresholds_by_class_and_pooled():
+    even, low = [50] * secret_scan.BINS, [900] + [0] * (secret_scan.BINS - 1)
+    assert secret_scan.thresholds(even) == 0 and secret_scan.thresholds(low) is None
+    mixed = [a + b for a, b in zip(even, low)]
+    assert secret_scan.thresholds(mixed) == 1
+    few = [1] + [0] * (secret_scan.BINS - 1)
+    assert secret_scan.thresholds(few) is None
+    found = secret_scan.limits({("hex", 32): mixed, ("hex", 64): few, ("base64", 20): few})
+    assert found == {("hex", 32): 1, ("hex", 64): 1, ("base64", 20): 1}
+    assert secret_scan.limits({("hex", 32): low, ("base64", 20): few}) == {}
+    assert secret_scan.limits({("hex", 32): few}) == {("hex", 32): 1}
+
+
+def test_many_digests_and_a_long_string_take_linear_time():
+    import time
+
+    rng = random.Random(3)
+    text = " ".join(f"{rng.randrange(16**40):040x} x{rng.randrange(10**30)}y" for _ in range(40_000)) + " " + "Ab1" * 2_000_000
+    began = time.time()
+    base = secret_scan.base_spans(text)
+    assert len(base) >= 40_000 and secret_scan.opaque_spans(text, base)
+    assert time.time() - began < 20
+
+
+def test_opaque_spans_overlap_no_known_form():
+    rng = random.Random(30)
+    for _ in range(300):
+        text = " ".join(rng.choice(["token=" + "x" * 30, "f" * 24 + "Z" * 9, "AKIA" + "Q1" * 12, "q" * 25, "secret: " + "0a" * 20]) for _ in range(8))
+        base = secret_scan.base_spans(text)
+        want = [m.span() for m in re.finditer(secret_scan._OPAQUE, text) if not any(a < m.end() and m.start() < b for a, _, b in base)]
+        assert [s[:2] for s in secret_scan.opaque_spans(text, base)] == want
+
+
+@pytest.mark.parametrize("alphabet", sorted(secret_scan.ALPHABETS))
+def test_p_values_of_random_strings_are_uniform(alphabet):
     rng = random.Random(9)
-    for alphabet in ("0123456789abcdef", secret_scan.ALPHABETS["base64"]):
+    for alphabet in (secret_scan.ALPHABETS[alphabet],):
         p = [secret_scan.randomness("".join(rng.choice(alphabet) for _ in range(64)))[1] for _ in range(1500)]
         assert 0.02 < sum(x < 0.05 for x in p) / 1500 < 0.09 and 0.4 < sum(x < 0.5 for x in p) / 1500 < 0.6
 
