@@ -22,6 +22,8 @@ from recollect.llm.store import discard, spread, stored
 OPEN, WHOLE, WEIGHT = 512, 2048, 4_000_000
 #: Buckets with more pairs to compare are first shrunk by stars around this many centres.
 HEAVY, CENTRES = 1 << 24, 8
+#: Up to so many buckets of two rows and more (24 bytes each) are broadcast to find their rows.
+BROADCAST_BUCKETS = 1_000_000
 #: Columns of a dense comparison.
 DENSE = 4096
 
@@ -185,7 +187,7 @@ def _open(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     all of them) lie in different components: with their ``label``, the commonest label
     ``main``, and the numbers of blocks on both sides."""
     label = nodes.select(F.col("node").alias("uid"), F.col("root").alias("label"))
-    rest = rows.filter("uid != c and rows > 2").select("key", "uid", "n").join(label, "uid", "left")
+    rest = rows.filter("uid != c").select("key", "uid", "n").join(label, "uid", "left")
     rest = stored(rest.withColumn("label", F.coalesce("label", "uid")), "labelled")
     each = rest.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("w"))
     buckets = (
@@ -233,9 +235,10 @@ def _everything(rows: DataFrame) -> DataFrame:
 def link(buckets: DataFrame, sets_of, flatten: Flatten, percent: int = 80) -> DataFrame | None:
     """Components of the rows that share a bucket and are similar.
 
-    ``buckets(key, uid, n)``, where n is the size of the row's set or about that;
-    ``sets_of(ids)`` gives the full sets ``(uid, items)`` of the rows in ``ids(uid)``, in any
-    form that ``flatten`` can read. Two rows are linked when
+    ``buckets(key, uid, n)``, where n is the size of the row's set or about that, and a row may
+    come repeatedly;
+    ``sets_of(ids, few)`` gives the full sets ``(uid, items)`` of the rows in ``ids(uid)``, in any
+    form that ``flatten`` can read; ``few`` tells that there are no more than BROADCAST_BUCKETS. Two rows are linked when
     ``100 * intersection >= percent * union``. Returns ``nodes(node, root)``, or None where no
     bucket has two rows.
 
@@ -246,16 +249,21 @@ def link(buckets: DataFrame, sets_of, flatten: Flatten, percent: int = 80) -> Da
     the rest, whatever its size: their work may grow with the square of the rows that are in
     a bucket but not in its main component.
     """
+    # the least and the greatest of a hash that differs from bucket to bucket: two rows, or none
     m = F.expr("uid ^ key")
-    firsts = (
-        buckets.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min(m).alias("m"))
-        .filter("rows > 1").select("key", "rows", F.expr("m ^ key").alias("c"))
-    )
-    rows = stored(buckets.join(firsts, "key"), "buckets")
-    if not rows.take(1):
-        discard(rows)
+    firsts = buckets.groupBy("key").agg(F.min(m).alias("m"), F.max(m).alias("top")).filter("m != top")
+    firsts = stored(firsts.select("key", F.expr("m ^ key").alias("c")), "centres")
+    found = firsts.count()
+    if not found:
+        discard(firsts)
         return None
-    sets = stored(sets_of(rows.select("uid").distinct()), "sets")
+    shared = buckets.join(F.broadcast(firsts) if found <= BROADCAST_BUCKETS else firsts, "key")
+    rows = stored(shared.dropDuplicates(["key", "uid"]), "buckets")
+    discard(firsts)
+    ids = stored(rows.select("uid").distinct(), "ids")
+    few = ids.count() <= BROADCAST_BUCKETS
+    sets = stored(sets_of(F.broadcast(ids) if few else ids, few), "sets")
+    discard(ids)
     weights = rows.groupBy("uid").agg(F.max("n").alias("n"))
     star = stored(rows.filter("uid != c").select("c", F.col("uid").alias("x")).distinct(), "stars")
     nodes = components(stored(_compared(_star(star, weights), sets, flatten, percent), "links"))

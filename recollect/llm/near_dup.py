@@ -152,7 +152,7 @@ def _grouped(docs: DataFrame, text: str, id_col: str, width: int, percent: int,
     distinct = rows.join(first.select(F.col("rep").alias("uid")), "uid", "left_semi")
     buckets = distinct.select(F.explode("bands").alias("key"), "uid", "n")
 
-    def sets_of(ids: DataFrame) -> DataFrame:
+    def sets_of(ids: DataFrame, few: bool) -> DataFrame:
         wanted = rows.select("uid", "text").join(ids, "uid", "left_semi")
         return wanted.select("uid", shingle_sets(width)(F.col("text").cast("string")).alias("items"))
 
