@@ -20,13 +20,9 @@ CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
 
 
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations as a stream of events."""
-    stream = (
-        spark.readStream.schema(CONVERSATIONS)
-        .option("pathGlobFilter", "conversations.parquet")
-        .parquet(sf_dir)
-    )
-    return i.events_of(stream)
+    """The conversations as a stream of events. The pattern matches one path, which may be a
+    file or a folder of part files."""
+    return i.events_of(spark.readStream.schema(CONVERSATIONS).parquet(f"{sf_dir}/{{conversations.parquet}}"))
 
 
 def finish(query: StreamingQuery) -> None:

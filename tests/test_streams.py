@@ -8,7 +8,8 @@ from helpers import CONFIG
 from pyspark.sql import functions as F
 
 from recollect import ingest_sessions
-from recollect.plans.streaming import _drain, _in_batches, _latest
+from recollect.plans import streaming
+from recollect.plans.streaming import _arriving, _drain, _in_batches, _latest
 from recollect.streaming.stateful import late_rows, state_lines, stream_transcripts, use_rocksdb, without_repeats
 
 EVENT = "app_name string, user_id string, session_id string, seq long, event_id string, author string, parts array<struct<text:string>>, said timestamp"
@@ -96,3 +97,20 @@ def test_repeats_within_the_delay_and_late_rows(spark, tmp_path):
 def test_a_table_loses_all_repeats(spark):
     rows = spark.createDataFrame([line("s", 0, "a"), line("s", 0, "a", 99), line("s", 1, "b")], EVENT)
     assert without_repeats(rows, "said", "1 hour").count() == 2
+
+
+@pytest.mark.parametrize("name", ["w8_finished_sessions", "x1_stream_to_table", "x2_stateful_transcripts", "x2_initial_state"])
+def test_conversations_in_a_folder_of_part_files(spark, tmp_path, name):
+    rows = [(conv, turn, "user", f"text {conv} {turn}") for conv in range(6) for turn in range(5 + conv % 2)]
+    turns = spark.createDataFrame(rows, streaming.CONVERSATIONS)
+    turns.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = streaming.QUERIES[name][0](spark, str(tmp_path)).collect()
+    assert len(found) == 6
+    assert "turns" not in found[0] or {int(r.session_id): r.turns for r in found} == {conv: 5 + conv % 2 for conv in range(6)}
+
+
+def test_conversations_in_one_file(spark, tmp_path):
+    spark.createDataFrame([(1, 0, "user", "a")], streaming.CONVERSATIONS).coalesce(1).write.parquet(f"{tmp_path}/w")
+    next(tmp_path.glob("w/part-*")).rename(tmp_path / "conversations.parquet")
+    path, _ = drained(spark, tmp_path, stream_transcripts(_arriving(spark, str(tmp_path))))
+    assert [r.transcript for r in _latest(spark, path).collect()] == ["user: a"]
