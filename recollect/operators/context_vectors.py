@@ -5,16 +5,26 @@ context vector is the sum of the sparse vectors of the words that stand near it,
 by how rare these are; so words used in the same company get similar vectors without ever
 meeting. A text's vector is the weighted sum of its words' context vectors.
 
-All of it is counting: sums of whole numbers, added up before anything is shuffled. Results
-do not depend on how the work was split.
+All of it is counting: sums of whole numbers. Texts are cut into blocks; a task holds one
+block's texts and what its words weigh, and adds up there whatever it can before anything is
+shuffled, so that never a row per pair of words is. Results do not depend on how the work
+was split.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recollect.operators.embedding import tokens
+from recollect.operators.nearest import runs
 from recollect.sources.scratch import stored
 
 #: Entries of a word's sparse vector, words to either side that are its context.
@@ -23,61 +33,183 @@ ENTRIES, WINDOW = 4, 2
 WEIGHT, STEPS = 1024, 1 << 15
 #: Up to so many words a vocabulary is broadcast (a word and a number each).
 BROADCAST_WORDS = 200_000
+#: Bytes of text in a block; a longer text is a block of its own.
+BLOCK = 8_000_000
+_SPARSE, _SMALL = "dims array<smallint>, x array<bigint>", "dims array<smallint>, x array<int>"
 
 
 def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_WORDS else df
 
 
-def _sparse(word: Column, dims: int) -> Column:
-    """``array<struct<dim, sign>>``: the places and signs of a word's own entries."""
-
-    def entry(k: int) -> Column:
-        digest = F.md5(F.concat(word, F.lit(f":{k}")))
-        place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dims
-        sign = F.when(F.substring(digest, 9, 1) < "8", F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
-        return F.struct(place.alias("dim"), sign.alias("sign"))
+def _blocks(df: DataFrame, row_id: Column, text: str) -> tuple[DataFrame, DataFrame]:
+    """The texts that have words, ``block, _id, clean`` (words with a space between), and the
+    words of each block, ``part, word, texts`` (how many of its texts have the word)."""
+    rows = df.select(row_id.alias("_id"), F.array_join(tokens(F.col(text)), " ").alias("clean")).filter("clean <> ''")
+    kind, size = rows.schema["_id"].dataType.simpleString(), BLOCK
+    schema = f"block string, _id {kind}, clean string, word string, texts bigint"
+    done = stored(rows.mapInArrow(lambda batches: _cut(batches, size), schema), "blocks")
+    return done.filter("word is null").select("block", "_id", "clean"), done.filter("word is not null").select(F.col("block").alias("part"), "word", "texts")
+
+
+def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    part, number, held, room = TaskContext.get().partitionId(), 0, [], size
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+        start, done = 0, 0
+        while start < len(ends):
+            stop = min(int(np.searchsorted(ends, done + room)) + 1, len(ends))
+            held.append(batch.slice(start, stop - start))
+            room -= int(ends[stop - 1]) - done
+            start, done = stop, int(ends[stop - 1])
+            if room <= 0:
+                yield from _block(f"{part}-{number}", held)
+                number, held, room = number + 1, [], size
+    if held:
+        yield from _block(f"{part}-{number}", held)
+
+
+def _block(name: str, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns = ["block", "_id", "clean", "word", "texts"]
+    for b in held:
+        empty = [pa.nulls(len(b), pa.string()), pa.nulls(len(b), pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(b), pa.string()), b.column(0), b.column(1).cast(pa.string()), *empty], columns)
+    doc, word, known = _words(pa.chunked_array([b.column(1) for b in held]))
+    texts = np.bincount(_pairs(doc, word, len(known))[1], minlength=len(known))
+    empty = [pa.nulls(len(known), held[0].column(0).type), pa.nulls(len(known), pa.string())]
+    yield pa.RecordBatch.from_arrays([pa.array([name] * len(known), pa.string()), *empty, known.cast(pa.string()), pa.array(texts)], columns)
+
+
+def _words(clean: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of each word in turn its text's number and its own; the words by number."""
+    lists = pc.split_pattern(clean.combine_chunks(), " ")
+    coded = pc.dictionary_encode(lists.flatten())
+    doc = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return doc, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def _pairs(doc: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different words of each text in order of texts, and how often each is there."""
+    pairs, times = np.unique(doc * n + word, return_counts=True)
+    return pairs // n, pairs % n, times
+
+
+def _own_entries(words: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the words' own entries, a column for each."""
+    place, sign = np.zeros((2, ENTRIES, len(words)), np.int64)
+    for at, word in enumerate(words.to_pylist()):
+        for k in range(ENTRIES):
+            digest = hashlib.md5(f"{word}:{k}".encode()).digest()
+            place[k, at], sign[k, at] = int.from_bytes(digest[:4], "big") % dims, 1 if digest[4] < 0x80 else -1
+    return place, sign
+
+
+def _contexts(texts: pa.Table, given: pa.Table, dims: int) -> pa.Table:
+    """A block's part of the context vector of each of its words that weigh something."""
+    doc, word, known = _words(texts["clean"])
+    at = pc.index_in(known, given["word"].combine_chunks().cast(known.type))
+    at = at.fill_null(-1).to_numpy(zero_copy_only=False)
+    weight = np.where(at >= 0, given["weight"].to_numpy()[at], 0) if len(given) else np.zeros(len(known), np.int64)
+    weighs = np.flatnonzero(weight)
+    # only what weighs something has a row and an entry
+    row = np.full(len(known), -1)
+    row[weighs] = np.arange(len(weighs))
+    place, sign = _own_entries(known.take(pa.array(weighs)), dims)
+    sums = np.zeros(len(weighs) * dims)  # whole numbers, far below 2**53 in a block
+    for k in range(1, WINDOW + 1):
+        a, b = word[:-k], word[k:]
+        near = np.flatnonzero((doc[:-k] == doc[k:]) & (a != b) & (row[a] >= 0) & (row[b] >= 0))
+        a, b = row[a[near]], row[b[near]]
+        for own, other in ((a, b), (b, a)):
+            for e in range(ENTRIES):
+                amount = (weight[weighs] * sign[e])[other]
+                sums += np.bincount(own * dims + place[e][other], weights=amount, minlength=len(sums))
+    sums = sums.reshape(-1, dims).astype(np.int64)
+    some = np.flatnonzero(sums.any(axis=1))
+    return pa.table({"word": known.take(pa.array(weighs[some])).cast(pa.string()), "weight": weight[weighs[some]], **_sparse(sums[some])})
+
+
+def _sparse(sums: np.ndarray, kind: type = np.int64) -> dict[str, pa.Array]:
+    row, dim = np.nonzero(sums)
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(sums)))]).astype(np.int32))
+    return {"dims": pa.ListArray.from_arrays(ends, pa.array(dim.astype(np.int16))), "x": pa.ListArray.from_arrays(ends, pa.array(sums[row, dim].astype(kind)))}
+
+
+def _dense(dims_of: pa.Array, x: pa.Array, into: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``out`` with each list's values added to its row of ``into``."""
+    where = np.repeat(into, dims_of.value_lengths().to_numpy(zero_copy_only=False))
+    np.add.at(out, (where, dims_of.flatten().to_numpy(zero_copy_only=False)), x.flatten().to_numpy(zero_copy_only=False).astype(out.dtype))
+    return out
+
+
+def _summed(parts: DataFrame, keys: list[str], dims: int, finish: Callable[[np.ndarray], dict], schema: str) -> DataFrame:
+    """The parts' sparse vectors added up by the first of ``keys``, then ``finish``ed, many at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kept = None, None  # the last key may go on in the next batch
+        for batch in batches:
+            batch = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names)
+            if not len(batch):
+                continue
+            starts = np.array([start for start, _ in runs([batch.column(0)])])
+            group = np.cumsum(np.isin(np.arange(len(batch)), starts)) - 1
+            sums = _dense(batch.column("dims"), batch.column("x"), group, np.zeros((len(starts), dims), np.int64))
+            names = pa.table({k: batch.column(k).take(pa.array(starts)) for k in keys})
+            if last is not None:
+                if last.column(0)[0].as_py() == names.column(0)[0].as_py():
+                    sums[0] += kept[0]
+                else:
+                    names, sums = pa.concat_tables([last, names]), np.concatenate([kept, sums])
+            yield from ended(names.slice(0, len(names) - 1), sums[:-1])
+            last, kept = names.slice(len(names) - 1), sums[-1:]
+        if last is not None:
+            yield from ended(last, kept)
+
+    def ended(names: pa.Table, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        some = np.flatnonzero(sums.any(axis=1))
+        rows = pa.table({**{k: names[k].take(pa.array(some)) for k in keys}, **finish(sums[some])})
+        yield from rows.combine_chunks().to_batches()
+
+    return parts.repartition(keys[0]).sortWithinPartitions(keys[0]).mapInArrow(run, schema)
+
+
+def _scaled(sums: np.ndarray) -> dict[str, pa.Array]:
+    top = np.abs(sums).max(axis=1, keepdims=True) if len(sums) else sums
+    return _sparse(np.floor((sums * STEPS).astype(np.float64) / top), np.int32)
 
-    return F.array(*[entry(k) for k in range(ENTRIES)])
 
-
-def word_weights(texts: DataFrame, text: str) -> DataFrame:
-    """``word, weight``: log2 of the number of texts over those with the word, in steps. A word
-    that all texts have weighs nothing and is left out."""
-    words = texts.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("word"))
+def fit_words(texts: DataFrame, dims: int, text: str = "text") -> DataFrame:
+    """``word, weight, dims, x``: the entries of each word's context vector that are not zero; the
+    largest in size is STEPS. A word's weight is log2 of the number of texts over those with the
+    word, in steps; a word that all texts have weighs nothing and is left out. Null texts count
+    as texts without words."""
+    docs, words = _blocks(texts, F.lit(None).cast("bigint"), text)
     total = texts.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
     weight = F.floor(F.log2(total / F.col("texts")) * WEIGHT + 0.5).cast("bigint")
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
-    return counted.select("word", weight.alias("weight")).filter("weight > 0")
-
-
-def _neighbours(texts: DataFrame, text: str) -> DataFrame:
-    """``word, near, n``: how often two different words stand within WINDOW of each other."""
-    w = F.col("_w")
-
-    def apart(k: int) -> Column:
-        n = F.greatest(F.size(w) - k, F.lit(0))
-        return F.transform(F.arrays_zip(F.slice(w, F.lit(1), n).alias("a"), F.slice(w, F.lit(1 + k), n).alias("b")), lambda p: F.struct(p.a.alias("a"), p.b.alias("b")))
-
-    words = texts.select(tokens(F.col(text)).alias("_w")).filter(F.size("_w") > 1)
-    pairs = words.select(F.explode(F.flatten(F.array(*[apart(k) for k in range(1, WINDOW + 1)]))).alias("p")).select("p.*").filter("a <> b")
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    both = counted.select(F.col("a").alias("word"), F.col("b").alias("near"), "n").union(counted.select("b", "a", "n"))
-    return both.groupBy("word", "near").agg(F.sum("n").alias("n"))
-
-
-def fit_words(texts: DataFrame, dims: int, text: str = "text") -> DataFrame:
-    """``word, weight, dim, value`` for the entries of each word's context vector that are not
-    zero; the largest in size is STEPS. Null texts count as texts without words."""
-    weights = stored(word_weights(texts, text), "weights")
-    near = _neighbours(texts, text).join(_few(weights.select(F.col("word").alias("near"), "weight")), "near")
-    spread = near.select("word", (F.col("n") * F.col("weight")).alias("x"), F.explode(_sparse(F.col("near"), dims)).alias("e"))
-    sums = spread.groupBy("word", F.col("e.dim").alias("dim")).agg(F.sum(F.col("x") * F.col("e.sign")).alias("x")).filter("x <> 0")
-    sums = stored(sums, "contexts")
-    largest = sums.groupBy("word").agg(F.max(F.abs("x")).alias("top"))
-    scaled = sums.join(largest, "word").join(weights, "word")
-    value = F.floor(F.col("x") * F.lit(STEPS) / F.col("top")).cast("bigint")
-    return stored(scaled.select("word", "weight", "dim", value.alias("value")).filter("value <> 0"), "words")
+    counted = words.groupBy("word").agg(F.sum("texts").alias("texts"))
+    weights = stored(counted.select("word", weight.alias("weight")).filter("weight > 0"), "weights")
+    given = words.join(_few(weights), "word").select("part", "word", "weight")
+    parts = docs.groupBy("block").cogroup(given.groupBy("part")).applyInArrow(
+        lambda own, other: _contexts(own, other, dims), f"word string, weight bigint, {_SPARSE}"
+    )
+    return stored(_summed(parts, ["word", "weight"], dims, _scaled, f"word string, weight bigint, {_SMALL}"), "words")
+
+
+def _text_sums(texts: pa.Table, given: pa.Table, dims: int) -> pa.Table:
+    """The weighted sum of the context vectors of each text's words, for a block of texts."""
+    doc, word, known = _words(texts["clean"])
+    at = pc.index_in(known, given["word"].combine_chunks().cast(known.type)).fill_null(-1).to_numpy(zero_copy_only=False)
+    doc, word, times = _pairs(doc, word, len(known))
+    found = at[word] >= 0
+    doc, word, times = doc[found], at[word[found]], times[found]
+    sums = np.zeros((len(texts), dims), np.int64)
+    if len(doc):
+        vectors = _dense(given["dims"].combine_chunks(), given["x"].combine_chunks(), np.arange(len(given)), np.zeros((len(given), dims), np.int32))
+        starts = np.flatnonzero(np.diff(doc, prepend=-1))
+        amount = times * given["weight"].to_numpy()[word]
+        for d in range(dims):
+            sums[doc[starts], d] = np.add.reduceat(amount * vectors[word, d], starts)
+    return pa.table({"_id": texts["_id"], **_sparse(sums)})
 
 
 def embed_by_context(df: DataFrame, words: DataFrame, dims: int, id_col: str, text: str = "text") -> DataFrame:
@@ -85,15 +217,20 @@ def embed_by_context(df: DataFrame, words: DataFrame, dims: int, id_col: str, te
     largest component in size 1 (similarities by cosine do not look at lengths). Texts without a
     known word have zeros; null texts have none. ``id_col`` is unique. ``words`` is the result
     of ``fit_words``, on these texts or on others."""
-    counted = df.select(F.col(id_col).alias("_id"), F.explode(tokens(F.col(text))).alias("word")).groupBy("_id", "word").agg(F.count(F.lit(1)).alias("tf"))
-    vectors = words.groupBy("word", "weight").agg(F.collect_list(F.struct("dim", "value")).alias("entries"))  # dims at most
-    cells = counted.join(_few(stored(vectors, "vectors")), "word").select("_id", (F.col("tf") * F.col("weight")).alias("x"), F.explode("entries").alias("e"))
-    sums = cells.groupBy("_id", F.col("e.dim").alias("dim")).agg(F.sum(F.col("x") * F.col("e.value")).alias("x")).filter("x <> 0")
-    texts = sums.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "x"))).alias("m"), F.max(F.abs("x")).alias("top"))
-    dense = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.lit(dims - 1).cast("bigint")),
-        lambda k: F.coalesce(F.try_element_at("m", k) / F.col("top"), F.lit(0.0)).cast("float"),
+
+    def unit(sums: np.ndarray) -> dict[str, pa.Array]:
+        top = np.abs(sums).max(axis=1, keepdims=True) if len(sums) else sums
+        flat = pa.array((sums / top).astype(np.float32).ravel())
+        return {"_v": pa.ListArray.from_arrays(pa.array(np.arange(0, sums.size + 1, dims, dtype=np.int32)), flat)}
+
+    docs, own = _blocks(df.filter(F.col(id_col).isNotNull()), F.col(id_col), text)
+    kind = df.schema[id_col].dataType.simpleString()
+    given = own.select("part", "word").join(_few(words), "word").select("part", "word", "weight", "dims", "x")
+    parts = docs.groupBy("block").cogroup(given.groupBy("part")).applyInArrow(
+        lambda texts, known: _text_sums(texts, known, dims), f"_id {kind}, {_SPARSE}"
     )
+    vectors = stored(_summed(parts, ["_id"], dims, unit, f"_id {kind}, _v array<float>"), "vectors")
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dims)
-    both = df.join(texts.select(F.col("_id"), dense.alias("_v")), F.col(id_col) == F.col("_id"), "left").drop("_id")
-    return both.withColumn("embedding", F.when(F.col(text).isNotNull(), F.coalesce("_v", zeros))).drop("_v")
+    # the text itself need not go through the join
+    both = df.withColumn("_some", F.col(text).isNotNull()).join(vectors, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    return both.withColumn("embedding", F.when(F.col("_some"), F.coalesce("_v", zeros))).drop("_v", "_some")

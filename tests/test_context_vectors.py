@@ -85,3 +85,19 @@ def test_unknown_words_and_empty_tables(spark):
     assert embedded(spark, ["nothing known", None], TALK) == [[0.0] * DIMS, None]
     assert embedded(spark, ["a b"], []) == [[0.0] * DIMS]
     assert embedded(spark, [], TALK) == []
+
+
+@pytest.mark.parametrize("block", [1, 70])
+def test_texts_in_many_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(cv, "BLOCK", block)
+    texts = [*TALK, None, "", "tea tea tea coffee tea", *TALK[:3]]
+    for got, want in zip(embedded(spark, texts), brute(texts)):
+        assert got is None if want is None else got == pytest.approx(want, abs=1e-6)
+
+
+def test_rows_of_one_id_share_their_words(spark):
+    rows = spark.createDataFrame([(1, "tea cup"), (1, "coffee"), (None, "tea"), (2, "tea cup coffee")], "id long, text string")
+    fitted = cv.fit_words(spark.createDataFrame([(t,) for t in TALK], "text string"), DIMS)
+    got = [(r.id, r.embedding) for r in cv.embed_by_context(rows, fitted, DIMS, "id").collect()]
+    both = dict(got)
+    assert [v for k, v in got if k == 1] == [both[2]] * 2 and both[None] == [0.0] * DIMS and any(both[2])
