@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from recollect.config import DOCUMENT_INPUT, Embedder, MemoryConfig
 
@@ -58,46 +62,51 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def token_bucket(word: Column, dims: int) -> Column:
-    """Bucket of a word: the first 32 bits of its MD5, modulo the dimensions."""
-    return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % dims
-
-
 def hashing_embedder(dims: int) -> Embedder:
     """Deterministic bag-of-words vectors of unit length, without a model.
 
-    Counts per bucket come from comparing lengths before and after ``array_remove``:
-    one pass of native code per dimension instead of a lambda call per word and
-    dimension.
+    Words are made by Spark; a batch's different words are hashed once and counted with
+    numpy, so that a text costs what its words cost, whatever the number of dimensions.
     """
 
+    @F.arrow_udf(ArrayType(FloatType()))
+    def unit_counts(spaced: pa.Array) -> pa.Array:
+        done = [_unit_counts(part, dims) for part in _slices(spaced)]
+        flat = pa.array(np.concatenate([np.zeros(0, np.float32), *[d.ravel() for d in done]]))
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dims, dtype=np.int32)), flat)
+
     def embed_text(text: Column) -> Column:
-        buckets = F.transform(tokens(text), lambda w: token_bucket(w, dims))
-        # a one-element array binds the buckets to a name, so they are computed once
-        counts = F.transform(F.array(buckets), lambda b: _bucket_counts(b, dims))
-        units = F.transform(counts, _unit_length)
-        return F.when(text.isNotNull(), F.element_at(units, 1))
+        return F.when(text.isNotNull(), unit_counts(F.regexp_replace(F.lower(text), TOKEN_BREAK, " ")))
 
     return column_embedder(embed_text)
 
 
-def _bucket_counts(buckets: Column, dims: int) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.lit(dims - 1).cast("bigint")),
-        lambda i: (F.size(buckets) - F.size(F.array_remove(buckets, i))).cast("double"),
-    )
-
-
-def _unit_length(counts: Column) -> Column:
-    squared = F.aggregate(counts, F.lit(0.0), lambda acc, n: acc + n * n)
-    lengths = F.array(F.sqrt(squared))
-    scaled = F.transform(
-        lengths,
-        lambda size: F.transform(
-            counts, lambda n: F.when(size > 0, n / size).otherwise(F.lit(0.0)).cast("float")
-        ),
-    )
-    return F.element_at(scaled, 1)
+def _slices(texts: pa.Array, size: int = 8_000_000) -> Iterator[pa.Array]:
+    """The texts of a batch, about so many bytes at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, done = 0, 0
+    while start < len(texts):
+        stop = min(int(np.searchsorted(ends, done + size)) + 1, len(texts))
+        yield texts.slice(start, stop - start)
+        start, done = stop, int(ends[stop - 1])
+
+
+def _unit_counts(spaced: pa.Array, dims: int) -> np.ndarray:
+    """Of each text, how many words fall into each bucket, scaled to length 1."""
+    lists = pc.split_pattern(pc.fill_null(spaced, ""), " ")
+    coded = pc.dictionary_encode(lists.flatten())
+    row = np.repeat(np.arange(len(spaced)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    words = coded.dictionary.to_pylist()
+    bucket = np.array([_bucket(w, dims) if w else -1 for w in words], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+    row, bucket = row[bucket >= 0], bucket[bucket >= 0]
+    counts = np.bincount(row * dims + bucket, minlength=len(spaced) * dims).reshape(len(spaced), dims).astype(np.float64)
+    size = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+    return np.divide(counts, size, out=np.zeros_like(counts), where=size > 0).astype(np.float32)
+
+
+def _bucket(word: str, dims: int) -> int:
+    """The first 32 bits of a word's MD5, modulo the dimensions."""
+    return int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dims
 
 
 def embed_column(config: MemoryConfig, text: Column, input_type: str = DOCUMENT_INPUT) -> Column:

@@ -153,11 +153,12 @@ def search_memory(
         )
     asked = spark.range(1).select(F.lit("0").alias("query_id"), F.lit(query).alias("query"))
     good = em.embedding_ok("embedding", config.dimensions)
-    vector = prepare_queries(asked, config).filter(good).select("embedding").scalar()
+    # one vector, taken here: an embedder in Python does not run in a subquery of a filter
+    vector = prepare_queries(asked, config).filter(good).select("embedding").first()
+    numbers = [] if vector is None else [float(x) for x in vector[0]]
     best = (
-        own.filter(good)
-        .withColumn("_q", vector)
-        .filter(F.col("_q").isNotNull())
+        own.filter(good if numbers else F.lit(False))
+        .withColumn("_q", F.array(*map(F.lit, numbers)).cast("array<float>"))
         .withColumn("similarity", vx.similarity_in_batches(config.similarity)("embedding", "_q"))
         .orderBy(F.desc("similarity"), "memory_id")
         .limit(config.search_limit)

@@ -51,8 +51,9 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cells(df: DataFrame, key: str) -> DataFrame:
-    """One row per non-zero vector entry."""
-    cells = df.select(key, F.posexplode("embedding").alias("dim", "value"))
+    """One row per non-zero vector entry. The outer form spares a filter on the vector's size, for
+    which Spark would embed each text once more."""
+    cells = df.select(key, F.posexplode_outer("embedding").alias("dim", "value"))
     return cells.filter("value <> 0").select(
         key, F.col("dim").cast("bigint").alias("dim"), F.col("value").cast("double").alias("value")
     )

@@ -1,3 +1,4 @@
+import hashlib
 from dataclasses import replace
 
 import numpy as np
@@ -9,6 +10,7 @@ from recollect import MemoryConfig, batch_embedder, column_embedder, ingest_sess
 from recollect.functions import vectors as vx
 from recollect.functions.signatures import planes, signature
 from recollect.operators.embedding import embed
+from recollect.plans.embedding import QUERIES
 
 
 def texts(spark, *values):
@@ -100,3 +102,19 @@ def test_signature_bits(spark):
     a, b = F.array(F.lit(-1), F.lit(0)), F.array(F.lit(0), F.lit(3))
     distance = vx.hamming_distance(a.cast("array<bigint>"), b.cast("array<bigint>"))
     assert spark.range(1).select(distance).first()[0] == 66
+
+
+def test_hashing_embedder_costs_a_text_once(spark, tmp_path, capfd):
+    spark.createDataFrame([(1, "Été à l'été İstanbul  x_y ΣΑΣ"), (2, None), (3, "?!")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    cells = QUERIES["e5_hashing_embedder"][0](spark, str(tmp_path))
+    cells.explain()
+    # one pass per batch, not a comparison of each word for each dimension, and not twice
+    plan = capfd.readouterr().out
+    assert plan.count("ArrowEvalPython") == 1 and "array_remove" not in plan
+    words = "été à l été i̇stanbul x y σας".replace("\u0307", " ").split()
+    counts = {}
+    for w in words:
+        d = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 64
+        counts[d] = counts.get(d, 0) + 1
+    size = sum(n * n for n in counts.values()) ** 0.5
+    assert {(r.doc_id, r.dim): r.value for r in cells.collect()} == {(1, d): float(np.float32(n / size)) for d, n in counts.items()}
