@@ -69,6 +69,7 @@ class _Hits:
     def __init__(self, words: int) -> None:
         self.words = words
         self.names: list[str] = []
+        self.own_ids = np.zeros(0, object)
         self.signs = np.zeros((0, 64 * words), np.float32)
         self.differing = np.zeros(0)
         self.before = np.zeros(0, np.int64)
@@ -76,6 +77,7 @@ class _Hits:
     def add(self, names: np.ndarray, matrix: np.ndarray) -> None:
         query, hit = (signs(matrix[:, k : k + self.words]) for k in (0, self.words))
         self.names += names.tolist()
+        self.own_ids = np.append(self.own_ids, np.array([name.split(_BETWEEN)[1] for name in names], object))
         self.signs = np.concatenate([self.signs, query])
         self.differing = np.append(self.differing, (query * hit < 0).sum(1))
         self.before = np.zeros(len(self.names), np.int64)
@@ -90,7 +92,7 @@ class _Hits:
             limit = self.differing[own, None]
             self.before[own] += (differing < limit).sum(1)
             hit, other = np.nonzero(differing == limit)
-            own_ids = np.array([name.split(_BETWEEN)[1] for name in self.names[own]], object)
+            own_ids = self.own_ids[own]
             first = ids[other] < own_ids[hit]  # ties by id
             self.before[own] += np.bincount(hit[first.astype(bool)], minlength=len(own_ids))
 

@@ -28,6 +28,9 @@ from recollect.operators.skew import heavy_keys
 #: A tenant with more memories / queries than this (and a notable share of all) is cut.
 MEMORY_BLOCK = 100_000
 QUERY_BLOCK = 2_000
+#: Blocks smaller than these do not cut a tenant into more parts than this, as each row of the
+#: other side is repeated for each part.
+PARTS = 8
 #: Rows put together before a task hands them back to Spark.
 OUT_ROWS = 8_192
 #: Scores held at once in a task: queries x memories of one matrix product.
@@ -70,8 +73,8 @@ def arranged(
     """``app_name, user_id, _m, _q, _kind, _id, _v``: both sides by block, a block's queries
     (kind 0) before its memories (kind 1), each by id. Rows whose ``vector`` has not the length
     of their side take no part."""
-    big_m = F.broadcast(heavy_keys(memories, TENANT, "_mn", memory_block))
-    big_q = F.broadcast(heavy_keys(queries, TENANT, "_qn", query_block))
+    big_m = F.broadcast(heavy_keys(memories, TENANT, "_mn", memory_block, most=PARTS, usual=MEMORY_BLOCK))
+    big_q = F.broadcast(heavy_keys(queries, TENANT, "_qn", query_block, most=PARTS, usual=QUERY_BLOCK))
 
     block = [*TENANT, "_m", "_q"]
 

@@ -18,9 +18,13 @@ def heavy_keys(
     splits: str,
     min_rows: int,
     share: float = HEAVY_SHARE,
+    most: int | None = None,
+    usual: int = 1,
 ) -> DataFrame:
     """Keys with more than ``max(min_rows, share * all rows)`` rows and the number of
-    pieces each should be cut into (column ``splits``).
+    pieces each should be cut into (column ``splits``). With ``most`` there are no more pieces
+    than that, unless they would then be larger than ``usual``: where the other side is repeated
+    for each piece, repeats do not grow with the table as long as pieces are small.
 
     Only the key columns are read and counts are combined before the shuffle. The
     result has fewer than ``1/share`` rows, which is what makes broadcasting it safe.
@@ -28,8 +32,11 @@ def heavy_keys(
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_all"))
     limit = F.greatest(F.lit(float(min_rows)), F.lit(share) * total.scalar())
+    pieces = F.ceil(F.col("_rows") / F.col("_limit"))
+    if most is not None:
+        pieces = F.least(pieces, F.greatest(F.lit(most), F.ceil(F.col("_rows") / F.lit(usual))))
     return (
         counts.withColumn("_limit", limit)
         .filter(F.col("_rows") > F.col("_limit"))
-        .select(*keys, F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias(splits))
+        .select(*keys, pieces.cast("int").alias(splits))
     )

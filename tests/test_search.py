@@ -6,7 +6,7 @@ from helpers import CONFIG, one, questions, session
 
 from recollect import ingest_sessions, insert_memories, schema, search, search_memory
 from recollect.operators import approximate
-from recollect.operators.nearest import nearest
+from recollect.operators.nearest import arranged, nearest
 from recollect.operators.search import top_k
 
 NOW = "2024-03-01 08:00:00"
@@ -154,3 +154,15 @@ def test_expired_rows_are_found_unless_asked_not_to(spark):
     asked = questions(spark, ("1", "app", "alice", "river"))
     assert search(asked, remembered(spark), config).count() == 2
     assert search(asked, remembered(spark), config, now="2024-03-02").isEmpty()
+
+
+@pytest.mark.parametrize("n", [200, 400])
+def test_repeats_of_small_blocks_do_not_grow_with_the_table(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(f"m{k:04d}", "a", "u", rng.normal(size=4).tolist()) for k in range(n)]
+    memories = spark.createDataFrame(rows, "memory_id string, app_name string, user_id string, embedding array<float>")
+    queries = memories.withColumnRenamed("memory_id", "query_id")
+    parts = arranged(queries, memories, "embedding", (4, 4), 5, 4)
+    assert parts.count() <= 2 * 8 * n and parts.select("_m", "_q").distinct().count() == 64
+    cut, whole = (sorted(map(tuple, nearest(queries, memories, 3, "cosine", 4, **b).collect())) for b in ({"memory_block": 5, "query_block": 4}, {}))
+    assert cut == whole and len(cut) == 3 * n
