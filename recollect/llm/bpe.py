@@ -6,6 +6,7 @@ import base64
 import gc
 import hashlib
 import itertools
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -279,11 +280,26 @@ def _digests(column: pa.Array, tables: dict, voc: np.ndarray, voc_ends: np.ndarr
 def prepared(spark, path: str):
     """The tables of a rank file as a broadcast value; its size is that of the vocabulary.
 
-    Workers keep what they learn (states, pre-tokens) in it from task to task.
+    Workers keep what they learn (states, pre-tokens) in it from task to task. The same file
+    gives the same value again, as workers would keep that of each call beside the others.
     """
-    tables = compile_tables(read_ranks(path))
-    tables["classes"] = pretokens.classes(unicode16=True)
-    return spark.sparkContext.broadcast(tables)
+
+    def tables() -> dict:
+        return compile_tables(read_ranks(path)) | {"classes": pretokens.classes(unicode16=True)}
+
+    return _sent(spark, "tables", path, tables)
+
+
+#: What was sent last, by its name: the application and file it is for, and the value.
+_last: dict[str, tuple] = {}
+
+
+def _sent(spark, name: str, path: str, make):
+    at, of = os.stat(path), spark.sparkContext.applicationId
+    key = (of, os.path.abspath(path), at.st_mtime_ns, at.st_size)
+    if _last.get(name, ("",))[0] != key:
+        _last[name] = key, spark.sparkContext.broadcast(make())
+    return _last[name][1]
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -333,7 +349,7 @@ def decode_ids(docs: DataFrame, path: str, out: str = "decoded", ids: str = "ids
 
     A column of that name is replaced; null ids give a null text, no ids an empty one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_vocabulary(read_ranks(path)))  # the vocabulary
+    shared = _sent(docs.sparkSession, "vocabulary", path, lambda: _vocabulary(read_ranks(path)))
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
