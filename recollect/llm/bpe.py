@@ -5,10 +5,11 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-import itertools
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ from recollect.llm import arrays, pretokens
 
 #: States and pre-tokens kept in a worker; a full cache is emptied and built anew.
 STATES, KNOWN = 150_000, 500_000
+#: Bytes of text split at once; splitting takes some thirty times as much memory.
+PIECE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -59,7 +62,7 @@ def compile_tables(ranks: dict[bytes, int]) -> dict:
         "tokens": tokens,
         "prefixes": {t[:k] for t in tokens for k in range(len(t))},
         "halves": {t: _halves(t, ranks) for t in tokens if len(t) > 1},
-        "moves": {}, "numbers": {}, "states": [], "endings": {}, "agree": {}, "known": {},
+        "moves": {}, "numbers": {}, "states": [], "endings": {}, "agree": {}, "known": {}, "decimals": {},
     }
 
 
@@ -68,7 +71,7 @@ class Transducer:
 
     A tokenisation is the one BPE makes exactly if each two neighbours are what BPE makes
     of their bytes; so each prefix of the input has one last token. A state is the last
-    token emitted, the bytes pending, and the last token of each pending prefix. The tokens
+    token emitted, the bytes pending, and the size of the last token of each pending prefix. The tokens
     that all prefixes which may still grow have in common are emitted. States are made when
     they are first met and are numbered.
     """
@@ -78,7 +81,7 @@ class Transducer:
         self.ranks, self.halves, self.agree = tables["ranks"], tables["halves"], tables["agree"]
         self.moves, self.numbers, self.states = tables["moves"], tables["numbers"], tables["states"]
         if not self.states:
-            self._number((b"", b"", (), b""))
+            self._number((b"", b"", "", b""))
 
     def _number(self, state: tuple) -> int:
         found = self.numbers.get(state)
@@ -130,16 +133,17 @@ class Transducer:
 
     def _step(self, state: tuple, byte: bytes) -> int | tuple[list[int], int]:
         """The number of the next state, with the ids emitted if there are any. A state is the
-        token before, the bytes pending, their last tokens, and the longest suffix that can
-        still grow."""
+        token before, the bytes pending, the sizes of their last tokens (characters of a string,
+        which takes least memory), and the longest suffix that can still grow."""
         left, pending, last, tail = state
         pending += byte
         end = len(pending)
         found, tail, grow = self.endings.get(tail + byte) or self._ending(tail + byte)
         for size, token in found:
-            before = last[end - size - 1] if end > size else left
+            at = end - size
+            before = pending[at - ord(last[at - 1]) : at] if at else left
             if not before or self._fits(before, token):
-                last += (token,)
+                last += chr(size)
                 break
         # where the paths of all prefixes that can still grow meet
         cut = end - grow[0]
@@ -147,15 +151,16 @@ class Transducer:
             tip = end - size
             while tip != cut:
                 if tip > cut:
-                    tip -= len(last[tip - 1])
+                    tip -= ord(last[tip - 1])
                 else:
-                    cut -= len(last[cut - 1])
+                    cut -= ord(last[cut - 1])
         if not cut:
             return self._number((left, pending, last, tail))
         emitted, at = [], cut
         while at:
-            emitted.append(last[at - 1])
-            at -= len(last[at - 1])
+            size = ord(last[at - 1])
+            emitted.append(pending[at - size : at])
+            at -= size
         after = (emitted[0], pending[cut:], last[cut:], tail)
         return [self.ranks[t] for t in reversed(emitted)], self._number(after)
 
@@ -166,7 +171,7 @@ class Transducer:
             return [whole]
         if len(self.states) > STATES:
             self.moves.clear(), self.numbers.clear(), self.states.clear()
-            self._number((b"", b"", (), b""))
+            self._number((b"", b"", "", b""))
         moves, found, state = self.moves, [], 0
         for byte in text:
             key = state << 8 | byte
@@ -181,8 +186,9 @@ class Transducer:
         _, pending, last, _ = self.states[state]
         at, rest = len(pending), []
         while at:
-            rest.append(self.ranks[last[at - 1]])
-            at -= len(last[at - 1])
+            size = ord(last[at - 1])
+            rest.append(self.ranks[pending[at - size : at]])
+            at -= size
         return found + rest[::-1]
 
 
@@ -236,11 +242,12 @@ def spread(flat: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> np.ndarra
 
 
 def encoded(column: pa.Array, tables: dict):
-    """For each piece of a batch: text bounds in tokens, all ids, and the pre-tokens as
-    ``(which, bounds in pre-tokens, ids and decimal ids of the distinct ones)``."""
+    """For each piece of a batch: text bounds in tokens, all ids (32 bits), and the pre-tokens as
+    ``(which, bounds in pre-tokens, bytes of the ids of the distinct ones)``. Known pre-tokens
+    are kept as bytes, which take a quarter of the memory of tuples of numbers."""
     gc.disable()  # states and pre-tokens hold no cycles, and walking through them takes time
     machine, known, table = Transducer(tables), tables["known"], tables["classes"]
-    for data, bounds in arrays.pieces(column):
+    for data, bounds in arrays.pieces(column, PIECE):
         starts = pretokens.split(data, bounds, table)
         different, which = pretokens.distinct(data, starts)
         lists = []
@@ -249,21 +256,33 @@ def encoded(column: pa.Array, tables: dict):
             if ids is None:
                 if len(known) > KNOWN:
                     known.clear()
-                ids = machine.encode(text)
-                ids = known[text] = tuple(ids), ",".join(map(str, ids)).encode()
+                ids = known[text] = array("i", machine.encode(text)).tobytes()
             lists.append(ids)
-        sizes = np.fromiter((len(ids) for ids, _ in lists), np.int64, len(lists))
-        flat = np.fromiter(itertools.chain.from_iterable(ids for ids, _ in lists), np.int64, int(sizes.sum()))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), np.int32)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         first = np.searchsorted(starts, bounds)
         total = np.concatenate([[0], np.cumsum(sizes[which])]) if len(which) else np.zeros(1, np.int64)
         yield total[first], spread(flat, ends, which), which, first, lists
 
 
+def _decimals(lists: list[bytes], tables: dict) -> np.ndarray:
+    """The decimal ids, comma-joined, of each of ``lists``."""
+    made, found = tables["decimals"], []
+    for ids in lists:
+        text = made.get(ids)
+        if text is None:
+            if len(made) > KNOWN:
+                made.clear()
+            text = made[ids] = ",".join(map(str, array("i", ids))).encode()
+        found.append(text)
+    return np.array(found, object)
+
+
 def _digests(column: pa.Array, tables: dict, voc: np.ndarray, voc_ends: np.ndarray) -> list[tuple]:
     rows = []
     for first, ids, which, places, lists in encoded(column, tables):
-        decimal = np.array([text for _, text in lists], object)
+        decimal = _decimals(lists, tables)
         for a, b, p, q in zip(first[:-1], first[1:], places[:-1], places[1:]):
             text = hashlib.sha256()
             stream = Utf8Stream()
@@ -308,6 +327,11 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
     return out.select(F.col(f"`{id_col}`"), "r.*")
 
 
+def _size(column: pa.Array) -> int:
+    """Bytes of all texts of a batch."""
+    return pc.sum(pc.binary_length(column).cast(pa.int64())).as_py() or 0
+
+
 def encode_ids(docs: DataFrame, path: str, out: str = "ids", text: str = "text") -> DataFrame:
     """``docs`` with the token ids of each whole text in a column ``out`` (``array<int>``).
 
@@ -317,12 +341,14 @@ def encode_ids(docs: DataFrame, path: str, out: str = "ids", text: str = "text")
 
     @F.arrow_udf("array<int>")
     def run(column: pa.Array) -> pa.Array:
-        flat, ends = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        # a token has a byte at least; memory that is not written to is not taken
+        flat, ends = np.empty(_size(column), np.int32), [np.zeros(1, np.int64)]
         for first, ids, *_ in encoded(column, shared.value):
-            flat.append(ids)
-            ends.append(first[1:] + ends[-1][-1])
+            at = int(ends[-1][-1])
+            flat[at : at + len(ids)] = ids
+            ends.append(first[1:] + at)
         return pa.ListArray.from_arrays(
-            pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(flat).astype(np.int32))
+            pa.array(np.concatenate(ends).astype(np.int32)), pa.array(flat[: int(ends[-1][-1])])
         )
 
     return docs.withColumn(out, run(docs[f"`{text}`"].cast("string")))
@@ -339,12 +365,16 @@ def decode_ids(docs: DataFrame, path: str, out: str = "decoded", ids: str = "ids
     def run(column: pa.Array) -> pa.Array:
         voc, ends = shared.value
         flat, bounds = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-        texts = []
-        for a, b, there in zip(bounds[:-1], bounds[1:], column.is_valid().to_pylist()):
-            stream, parts = Utf8Stream(), []
-            for k in range(a, b, 1 << 16):
-                parts.append(stream.feed(spread(voc, ends, flat[k : min(k + (1 << 16), b)]).tobytes()))
-            texts.append("".join([*parts, stream.close()]) if there else None)
-        return pa.array(texts, pa.string())
+        valid, texts, places = column.is_valid().to_numpy(zero_copy_only=False), bytearray(), [0]
+        for a, b, there in zip(bounds[:-1].tolist(), bounds[1:].tolist(), valid.tolist()):
+            if there:
+                stream = Utf8Stream()
+                for k in range(a, b, 1 << 16):
+                    texts += stream.feed(spread(voc, ends, flat[k : min(k + (1 << 16), b)]).tobytes()).encode()
+                texts += stream.close().encode()
+            places.append(len(texts))
+        offsets = pa.py_buffer(np.array(places, np.int32))
+        mask = pa.py_buffer(np.packbits(valid, bitorder="little"))
+        return pa.StringArray.from_buffers(len(column), offsets, pa.py_buffer(texts), mask)
 
     return docs.withColumn(out, run(docs[f"`{ids}`"]))

@@ -1,6 +1,8 @@
 import base64
 import hashlib
 import random
+import sys
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -71,6 +73,28 @@ def test_full_caches_change_nothing(library, monkeypatch):
         assert machine.encode(word.encode()) == library.encode_ordinary(word)
 
 
+def test_encoder_takes_little_memory():
+    """A known pre-token is two short byte strings, and a batch is split in small pieces."""
+    def deep(value):
+        inner = sum(map(deep, value)) if isinstance(value, (tuple, list)) else 0
+        return sys.getsizeof(value) + inner
+
+    import pyarrow as pa
+
+    tables = bpe.compile_tables(bpe.read_ranks(RANKS)) | {"classes": pretokens.classes(True)}
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(2000)]
+    list(bpe.encoded(pa.array([" ".join(words)]), tables))
+    assert len(tables["known"]) >= 1990
+    assert sum(deep(k) + deep(v) for k, v in tables["known"].items()) < 130 * len(tables["known"])
+    column = pa.array([" ".join(words[:100]) * 250] * 24)  # 6 MB
+    tracemalloc.start()
+    sizes = [len(ids) for _, ids, *_ in bpe.encoded(column, tables)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(sizes) > 4 and peak < 60e6
+
+
 @given(text=st.text(max_size=30), cut=st.integers(1, 5))
 def test_streaming_utf8(text, cut):
     raw, stream = text.encode(), bpe.Utf8Stream()
