@@ -114,28 +114,17 @@ def sketch(width: int, rows: int = ROWS, bands: int = BANDS):
     return run
 
 
-def shingle_sets(width: int):
-    """Column function: the sorted distinct shingle hashes of a text."""
+def _shingle_sets(width: int):
+    """The sorted distinct shingle hashes of each text of a batch, and the bounds of the texts."""
 
-    @F.arrow_udf("array<long>")
-    def run(column: pa.Array) -> pa.Array:
+    def flatten(items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         flat, ends = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
-        for values, bounds in _sets(column, width):
+        for values, bounds in _sets(items, width):
             flat.append(values)
             ends.append(bounds[1:] + ends[-1][-1])
-        return pa.ListArray.from_arrays(
-            pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(flat).view(np.int64))
-        )
-
-    return run
-
+        return np.concatenate(flat), np.concatenate(ends)
 
-def _flatten(items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The sets of ``shingle_sets`` as they are, but in the order of signed numbers."""
-    size = items.value_lengths().to_numpy(zero_copy_only=False)
-    flat = items.flatten().to_numpy()
-    row = np.repeat(np.arange(len(size)), size)
-    return flat[np.lexsort((flat, row))], np.concatenate([[0], np.cumsum(size)])
+    return flatten
 
 
 def _grouped(docs: DataFrame, text: str, id_col: str, width: int, percent: int, carry: bool) -> tuple[DataFrame, DataFrame]:
@@ -143,20 +132,21 @@ def _grouped(docs: DataFrame, text: str, id_col: str, width: int, percent: int,
     of those in components of two or more rows."""
     rows = numbered(docs, text, carry, id_col)
     rows = stored(rows.withColumn("s", sketch(width)(F.col("text").cast("string"))).select("uid", "doc", "text", "s.*"), "sketches")
-    # copies (equal sets) meet in their first row before anything is banded
+    # copies (equal sets) meet in their first row before anything is banded; it brings its bands
+    # along, so that rows are not joined with the first ones by shuffling all bands twice
     first = (
         rows.filter("n > 0").groupBy("digest")
-        .agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        .agg(F.min(F.struct("uid", "n", "bands")).alias("row"), F.count(F.lit(1)).alias("copies"))
     )
-    first = stored(first, "firsts")
-    distinct = rows.join(first.select(F.col("rep").alias("uid")), "uid", "left_semi")
-    buckets = distinct.select(F.explode("bands").alias("key"), "uid", "n")
+    first = stored(first.select("digest", "copies", F.col("row.uid").alias("rep"), "row.n", "row.bands"), "firsts")
+    buckets = first.select(F.explode("bands").alias("key"), F.col("rep").alias("uid"), "n")
+    first = first.select("digest", "copies", "rep")
 
     def sets_of(ids: DataFrame, few: bool) -> DataFrame:
-        wanted = rows.select("uid", "text").join(ids, "uid", "left_semi")
-        return wanted.select("uid", shingle_sets(width)(F.col("text").cast("string")).alias("items"))
+        # texts go to the tasks, not their shingles: hashes of 8 bytes do not compress
+        return rows.select("uid", F.col("text").cast("string").alias("items")).join(ids, "uid", "left_semi")
 
-    found = link(buckets, sets_of, _flatten, percent)
+    found = link(buckets, sets_of, _shingle_sets(width), percent)
     reps = first.filter("copies > 1")
     if found is not None:
         nodes = found.toDF("rep", "root")

@@ -98,6 +98,22 @@ def test_equals_brute_force(spark, rows):
     equals(near_dup.near_duplicates(table(spark, rows)).collect(), rows)
 
 
+def test_bands_are_not_joined_and_texts_are_shuffled(spark, monkeypatch, capsys):
+    """Bands come along with the first of equal rows, and tasks get texts, not hashes of shingles."""
+    seen = []
+
+    def watched(buckets, sets_of, *rest):
+        capsys.readouterr()
+        buckets.explain()
+        seen.append((capsys.readouterr().out, sets_of(buckets.select("uid").distinct(), True).schema["items"].dataType.simpleString()))
+        return linking.link(buckets, sets_of, *rest)
+
+    monkeypatch.setattr(near_dup, "link", watched)
+    equals(near_dup.near_duplicates(table(spark, groups())).collect(), groups())
+    (plan, items), = seen
+    assert "Join" not in plan and items == "string"
+
+
 def test_one_row_of_each_group_stays_whole(spark):
     rows = groups() + messy()
     docs = table(spark, rows)
