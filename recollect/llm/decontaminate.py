@@ -9,19 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recollect.llm.store import stored
+from recollect.llm.store import beside, stored
 from recollect.llm.tokens import tokens
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
 #: Benchmark tables are broadcast up to this number of rows (about 100 bytes each); beyond,
-#: the same joins are shuffled.
+#: the joins are shuffled.
 BROADCAST_ROWS = 200_000
 
 
+def _few(df: DataFrame) -> bool:
+    return df.count() <= BROADCAST_ROWS
+
+
 def _small(df: DataFrame) -> DataFrame:
     """``df`` (a stored table), marked for broadcast if its rows are few enough."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if _few(df) else df
 
 
 def _windows(benchmark: DataFrame, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -54,16 +58,25 @@ def _prefixes(words: DataFrame, wins: DataFrame) -> DataFrame:
 
 
 def _occurrences(words: DataFrame, wins: DataFrame) -> DataFrame:
-    """``uid, start, len, wid`` of every occurrence of every window."""
-    prefix = _small(stored(_prefixes(words, wins), "prefixes"))
-    places = words.select("uid", "n", F.posexplode("words").alias("pos", "word")).join(prefix, "word")
-    start = F.col("pos") - F.col("p")
-    near = places.select("uid", "n", start.alias("start"), "len").filter("start >= 0 and start + len <= n")
-    near = stored(near.groupBy("uid").agg(F.collect_set(F.struct("start", "len")).alias("at")), "candidates")
-    slices = F.transform("at", lambda a: F.struct(a.start.alias("start"), a.len.alias("len"), F.slice("words", a.start + 1, a.len).alias("win")))
-    # candidates grow with the documents, so no broadcast is asked for
-    found = words.select("uid", "words").join(near, "uid").select("uid", F.explode(slices).alias("a"))
-    return stored(found.select("uid", "a.*").join(_small(wins.drop("len")), "win").drop("win"), "occurrences")
+    """``uid, start, len, wid`` of every occurrence of every window, some of them repeatedly."""
+    prefix = stored(_prefixes(words, wins), "prefixes")
+    start = (F.col("pos") - F.col("p")).alias("start")
+    possible = "start >= 0 and start + len <= n"
+    if _few(prefix):
+        # places are found and checked in the row that has the words, so words are not shuffled
+        places = words.select("uid", "n", "words", F.posexplode("words").alias("pos", "word")).join(F.broadcast(prefix), "word")
+        near = places.select("uid", "n", "words", start, "len").filter(possible)
+        # Spark may cut a window before it drops impossible starts
+        win = F.slice("words", F.greatest("start", F.lit(0)) + 1, F.col("len")).alias("win")
+        found = near.select("uid", "start", "len", win)
+    else:
+        places = words.select("uid", "n", F.posexplode("words").alias("pos", "word")).join(prefix, "word")
+        near = places.select("uid", "n", start, "len").filter(possible)
+        near = stored(near.groupBy("uid").agg(F.collect_set(F.struct("start", "len")).alias("at")), "candidates")
+        slices = F.transform("at", lambda a: F.struct(a.start.alias("start"), a.len.alias("len"), F.slice("words", a.start + 1, a.len).alias("win")))
+        # candidates grow with the documents, so no broadcast is asked for
+        found = words.select("uid", "words").join(near, "uid").select("uid", F.explode(slices).alias("a")).select("uid", "a.*")
+    return stored(found.join(_small(wins.drop("len")), "win").drop("win"), "occurrences")
 
 
 def _hit(spans):
@@ -127,5 +140,5 @@ def drop_contaminated(
     """The rows of ``docs`` without an occurrence of a benchmark window, with all columns."""
     rows = _words(docs, id_col, text, carry=True)
     wins, _ = _windows(benchmark, item_id, item_text)
-    hit = _occurrences(rows, wins).select("uid").distinct()
-    return rows.select("uid", "doc").join(hit, "uid", "left_anti").select("doc.*")
+    hit = stored(_occurrences(rows, wins).select("uid").distinct(), "hit")
+    return beside(rows.select("uid", "doc"), hit, "left_anti").select("doc.*")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recollect.llm import arrays
 from recollect.llm.linking import link, with_least
-from recollect.llm.store import discard, given_back, numbered, stored
+from recollect.llm.store import beside, discard, given_back, numbered, stored
 
 #: Rows per band and bands. A pair at the threshold of 0.8 misses all 30 bands with
 #: probability (1 - 0.8**6)**30 = 1e-4, one at 0.85 with 7e-7; at 0.3 it meets in 2 %.
@@ -189,5 +189,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     rows, members = _grouped(docs, text, id_col, width, percent, carry=True)
     own = F.col("doc")[id_col]
     order = F.struct(own.isNull(), own, F.col("uid"))
-    gone = with_least(members, order, "head").filter("uid != head.uid").select("uid")
-    return given_back(rows.select("uid", "doc", "text").join(gone, "uid", "left_anti"), docs.columns, text)
+    gone = stored(with_least(members, order, "head").filter("uid != head.uid").select("uid"), "gone")
+    return given_back(beside(rows.select("uid", "doc", "text"), gone, "left_anti"), docs.columns, text)

@@ -1,6 +1,8 @@
 import random
 
-from recollect.llm import line_dedup
+import pytest
+
+from recollect.llm import line_dedup, near_dup, store
 
 from .corpus import messy, near, prose, table
 
@@ -99,3 +101,33 @@ def test_many_lines_in_one_text(spark):
     data = [(1, "\n".join(f"line number {k % 30_000} of the text" for k in range(60_000))), (2, None)]
     got = {r.doc_id: r for r in line_dedup.line_report(table(spark, data)).collect()}
     assert got[1].n_lines == 60_000 and got[1].n_dropped >= 30_000
+
+
+@pytest.mark.parametrize("cells", [10_000_000, 60])
+@pytest.mark.parametrize("shorten", [line_dedup.dedup_lines, near_dup.drop_near_duplicates])
+def test_texts_are_not_shuffled_for_what_goes(spark, monkeypatch, capsys, shorten, cells):
+    """Nor are they when what goes is more than Spark broadcasts by itself, or than is broadcast at once."""
+    docs = table(spark, rows() + [(200 + k, prose(random.Random(k % 20), 30)) for k in range(40)])
+    want = sorted(map(str, shorten(docs).collect()))
+    monkeypatch.setattr(store, "CELLS", cells)
+    seen = []
+    real = store.stored
+
+    def watched(df, name):
+        capsys.readouterr()
+        df.explain()
+        seen.append((name, capsys.readouterr().out))
+        return real(df, name)
+
+    monkeypatch.setattr(store, "stored", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = shorten(docs)
+        capsys.readouterr()
+        got.explain()
+        plans = [capsys.readouterr().out] + [plan for name, plan in seen if name == "beside"]
+        assert sorted(map(str, got.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not any("hashpartitioning" in plan for plan in plans)
+    assert (len(plans) > 2) == (cells < 100)

@@ -214,6 +214,31 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.contamination(docs, benchmark).collect())) == want
 
 
+def test_words_are_not_shuffled(spark, monkeypatch, capsys):
+    """Places of a window's rarest word are checked in the row that has the words."""
+    real, plans = decontaminate.stored, {}
+
+    def watched(df, name):
+        capsys.readouterr()
+        df.explain()
+        plans[name] = capsys.readouterr().out
+        return real(df, name)
+
+    monkeypatch.setattr(decontaminate, "stored", watched)
+    benchmark = spark.createDataFrame([(1, "w1e w2i w3o")], "item_id long, text string")
+    docs = table(spark, [(k, "a w1e w2i w3o b" if k % 3 else "w1e w3o") for k in range(30)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        kept = decontaminate.drop_contaminated(docs, benchmark)
+        capsys.readouterr()
+        kept.explain()
+        plans["kept"] = capsys.readouterr().out
+        assert {r.doc_id for r in kept.collect()} == set(range(0, 30, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in plans["occurrences"] + plans["kept"]
+
+
 # quality rules
 
 
