@@ -2,8 +2,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from recollect.llm import linking, near_dup
+from recollect.llm import linking, near_dup, store
 
 from .corpus import messy, near, prose, table
 
@@ -149,3 +150,27 @@ def test_densified_signatures_estimate_similarity():
             union = len(np.union1d(*sets))
             same.append((table[0] == table[1]).mean() - len(np.intersect1d(*sets)) / union)
         assert abs(np.mean(same)) < 0.06
+
+
+@pytest.mark.parametrize("share", [3, 10_000])
+def test_large_tables_of_least_rows_are_not_repeated_for_a_broadcast(spark, monkeypatch, share):
+    """A key's least row went to 32 tasks by an explode, and Spark broadcast all 32 by the size of the file."""
+    monkeypatch.setattr(store, "BROADCAST_ROWS", 50)
+    monkeypatch.setattr(store, "HEAVY", share)
+    rows = [(k, k if k % 2 else 0, k * 7919 % 1000) for k in range(1000)]
+    members = store.stored(spark.createDataFrame(rows, "uid long, root long, x long"), "members")
+    done = linking.with_least(members, F.struct("x", "uid"), "head")
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "explode" not in plan
+    least = {}
+    for uid, root, x in rows:
+        least[root] = min(least.get(root, (x, uid)), (x, uid))
+    got = sorted((r.uid, r.root, r.x, tuple(r.head)) for r in done.collect())
+    assert got == sorted((uid, root, x, least[root]) for uid, root, x in rows)
+
+
+def test_exploded_tasks_are_not_broadcast_by_estimate(spark):
+    tasks = spark.range(20).select(F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("t"), F.col("id").alias("uid"), F.lit(0).alias("side"), F.col("id").alias("label"))
+    sets = store.stored(spark.range(20).select(F.col("id").alias("uid"), F.lit("a b").alias("items")), "sets")
+    plan = linking._compared(tasks, sets, near_dup._shingle_sets(2), 80)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
