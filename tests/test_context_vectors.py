@@ -4,10 +4,13 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import count
 
+import numpy as np
 import pytest
 
 from recollect.operators import context_vectors as cv
+from recollect.sources import scratch
 
 DIMS = 24
 
@@ -101,3 +104,29 @@ def test_rows_of_one_id_share_their_words(spark):
     got = [(r.id, r.embedding) for r in cv.embed_by_context(rows, fitted, DIMS, "id").collect()]
     both = dict(got)
     assert [v for k, v in got if k == 1] == [both[2]] * 2 and both[None] == [0.0] * DIMS and any(both[2])
+
+
+def test_packed_rows_of_any_size():
+    rows = np.array([[0, 0, 0], [1, -1, 0], [32768, 0, -32768], [32769, 0, 1], [0, -32769, 0], [2**31, -(2**31), 5], [2**31 + 1, 0, 0], [0, 0, -(2**50)], [0, 2**50, 7]], np.int64)
+    some = np.array([8, 1, 2, 3, 4, 5, 6, 7, 0])
+    for dims in (3, 8, 9):
+        wide = np.pad(rows, ((0, 0), (0, dims - 3)))
+        cells = cv._packed(wide, some)
+        assert (cv._vectors(cells, dims) == wide[some]).all() and (cv._vectors(cells.slice(2, 3), dims) == wide[some[2:5]]).all()
+        assert len(cv._vectors(cv._packed(wide, some[:0]), dims)) == 0
+    assert len(cells[0].as_py()) == 1 + 2 + 2 * 8 and len(cells[1].as_py()) == 1 + 2 + 2 * 2
+
+
+def test_lots_and_used_up_tables_are_deleted(spark, monkeypatch, tmp_path):
+    """Shuffles and tables of the first pass were on disk until the second had ended: ten times the input."""
+    for name, value in (("BLOCK", 70), ("LOTS", 3), ("LEAST", 2), ("PLACES", 4)):
+        monkeypatch.setattr(cv, name, value)
+    number = count()
+    monkeypatch.setattr(scratch, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{next(number)}")
+    before = spark.conf.get(scratch.CLEANUP, None)
+    texts = [*TALK, None, "", "tea tea tea coffee tea", *TALK[:3]]
+    done = embedded(spark, texts)
+    assert {path.name.split("-")[0] for path in tmp_path.iterdir()} == {"words", "vectors"}
+    assert spark.conf.get(scratch.CLEANUP, None) == before
+    for got, want in zip(done, brute(texts)):
+        assert got is None if want is None else got == pytest.approx(want, abs=1e-6)
